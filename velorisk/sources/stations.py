@@ -50,9 +50,9 @@ def parse_station_feed(feed: DataFrame) -> DataFrame:
     ).where("station_id IS NOT NULL")
 
 
-def read_station_feed(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of stations."""
-    feed = spark.read.schema(schemas.STATION_FEED).option("multiLine", True).json(path)
+def read_station_feed(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A JSON array of stations or, without ``multi_line``, one JSON object per line, which Spark can split."""
+    feed = spark.read.schema(schemas.STATION_FEED).option("multiLine", multi_line).json(path)
     return parse_station_feed(feed)
 
 
