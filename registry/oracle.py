@@ -588,9 +588,10 @@ add(
 )
 add(
     "agg18_period_by_day_type",
-    """SELECT time_of_day_period AS time_period, day_type, CAST(sum(accident_count) AS BIGINT) AS accident_count,
-       CAST(sum(fatal_count) AS BIGINT) AS fatal_count, CAST(sum(serious_count) AS BIGINT) AS serious_count
-       FROM periods GROUP BY ALL ORDER BY CASE time_of_day_period WHEN 'AM Rush (07-09)' THEN 1 WHEN 'Midday (10-16)' THEN 2
+    """SELECT * FROM (SELECT time_of_day_period AS time_period, day_type,
+         CAST(sum(accident_count) AS BIGINT) AS accident_count, CAST(sum(fatal_count) AS BIGINT) AS fatal_count,
+         CAST(sum(serious_count) AS BIGINT) AS serious_count FROM periods GROUP BY ALL)
+       ORDER BY CASE time_period WHEN 'AM Rush (07-09)' THEN 1 WHEN 'Midday (10-16)' THEN 2
        WHEN 'PM Rush (17-19)' THEN 3 WHEN 'Evening (20-23)' THEN 4 ELSE 5 END, day_type""",
 )
 add(

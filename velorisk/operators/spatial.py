@@ -28,7 +28,7 @@ from velorisk.operators.grid import (
 # Cells per radius (or per buffer width) for totals: finer cells leave fewer
 # points to compare, coarser ones fewer cells to shuffle.
 DISC_SPLITS = 6
-CAPSULE_SPLITS = 2
+CAPSULE_SPLITS = 1
 BOX_CELL_M = 150.0
 
 
@@ -38,6 +38,16 @@ def _placed_points(points: DataFrame, grid: Grid) -> DataFrame:
     return grid.locate(named, "point_lon", "point_lat")
 
 
+def _shuffled(cover: DataFrame) -> DataFrame:
+    """Keep an exploded side out of any broadcast.
+
+    The planner knows its size before the explosion only, and would broadcast
+    a table hundreds of times larger. A sort-merge join spills, and adaptive
+    execution splits its skewed cells.
+    """
+    return cover.hint("merge")
+
+
 _SITE_VECTOR = ["_sx", "_sy", "_sz"]
 _POINT_VECTOR = ["_px", "_py", "_pz"]
 
@@ -85,7 +95,7 @@ def radius_join(
     grid = Grid.of_side(radius_m)
     distance = METRICS[metric](F.col("longitude"), F.col("latitude"), F.col("point_lon"), F.col("point_lat"))
     pairs = (
-        disc_cells(_site_side(sites, metric), grid, radius_m, metric)
+        _shuffled(disc_cells(_site_side(sites, metric), grid, radius_m, metric))
         .join(_point_side(_placed_points(points, grid), metric), ["cell_x", "cell_y"])
         .where(_within(radius_m, metric))
         .drop("cell_x", "cell_y", "whole", *_SITE_VECTOR, *_POINT_VECTOR)
@@ -103,7 +113,7 @@ def box_join(segments: DataFrame, points: DataFrame, pad_deg: float = C.CORRIDOR
     grid = Grid.of_side(500.0)
     west, east, south, north = padded_box(pad_deg)
     return (
-        box_cells(spread(segments, "lon_a", "lat_a", "lon_b", "lat_b"), grid, pad_deg)
+        _shuffled(box_cells(spread(segments, "lon_a", "lat_a", "lon_b", "lat_b"), grid, pad_deg))
         .join(_placed_points(points, grid), ["cell_x", "cell_y"])
         .where(F.col("point_lon").between(west, east) & F.col("point_lat").between(south, north))
         .drop("cell_x", "cell_y")
@@ -121,7 +131,7 @@ def buffer_join(
     grid = Grid.of_side(buffer_m)
     gap = gap_to_segment(F.col("point_lon"), F.col("point_lat"))
     pairs = (
-        capsule_cells(with_plane(spread(segments, *segment_keys)), grid, buffer_m)
+        _shuffled(capsule_cells(with_plane(spread(segments, *segment_keys)), grid, buffer_m))
         .join(_placed_points(points, grid), ["cell_x", "cell_y"])
         .where(gap <= F.lit(float(buffer_m) ** 2))
         .withColumn("distance_m", F.sqrt(gap))
@@ -162,7 +172,8 @@ def _covered_totals(
     singles = located.withColumn("whole", F.lit(False))
     both = singles.unionByName(totals, allowMissingColumns=True)
     return (
-        cover.join(both, ["cell_x", "cell_y", "whole"])
+        _shuffled(cover)
+        .join(both, ["cell_x", "cell_y", "whole"])
         .where(F.col("whole") | is_hit)
         .groupBy(*keys)
         .agg(*_sums(names))
@@ -303,7 +314,8 @@ def box_totals(
         ),
     )
     edge = (
-        rim.join(located, ["cell_x", "cell_y"])
+        _shuffled(rim)
+        .join(located, ["cell_x", "cell_y"])
         .where(F.col("point_lon").between(F.col("west"), F.col("east")))
         .where(F.col("point_lat").between(F.col("south"), F.col("north")))
         .select(*keys, *names)
