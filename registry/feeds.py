@@ -7,7 +7,7 @@ from velorisk import derived
 from velorisk.session import scratch_path
 
 
-def _coordinates(journeys: DataFrame) -> DataFrame:
+def with_coordinates(journeys: DataFrame) -> DataFrame:
     def lon(key):
         return F.lit(-0.20) + ((key * 7919) % 1501) / F.lit(10000.0)
 
@@ -32,7 +32,7 @@ def journey_feeds(spark: SparkSession, folder: str) -> list[str]:
     A third of the rental ids goes to each vintage. Times are minutes in text,
     and one in 13 is unreadable.
     """
-    rows = _coordinates(derived.journeys(spark, folder))
+    rows = with_coordinates(derived.journeys(spark, folder))
 
     def minute(column: str):
         return F.when(F.col("rental_id") % 13 == 0, F.lit("n/a")).otherwise(F.date_format(column, "yyyy-MM-dd HH:mm"))

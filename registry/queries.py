@@ -437,7 +437,7 @@ def flt1_area_filter(spark, sf):
 
 @query
 def flt2_area_at_start(spark, sf):
-    df = feeds._coordinates(derived.journeys(spark, sf))
+    df = feeds.with_coordinates(derived.journeys(spark, sf))
     return journeys.in_area_at_start(df).select("rental_id", "bike_id", "start_lon", "start_lat")
 
 
@@ -766,7 +766,7 @@ def win4_share_of_year(spark, sf):
 
 @query
 def win5_first_station_seen(spark, sf):
-    raw = feeds._coordinates(derived.journeys(spark, sf)).withColumn(
+    raw = feeds.with_coordinates(derived.journeys(spark, sf)).withColumn(
         "source_file", F.concat((F.col("rental_id") % 4 + 98).cast("string"), F.lit("JourneyDataExtract.csv"))
     )
     return stations.stations_from_journeys(raw.withColumn("start_station_name", F.concat("start_station_name", F.lit("S"))))
@@ -826,7 +826,7 @@ def set2_trips_by_end(spark, sf):
 
 @query
 def set3_stations_from_journeys(spark, sf):
-    raw = feeds._coordinates(derived.journeys(spark, sf)).withColumn("source_file", F.lit("7JourneyDataExtract.csv"))
+    raw = feeds.with_coordinates(derived.journeys(spark, sf)).withColumn("source_file", F.lit("7JourneyDataExtract.csv"))
     return stations.stations_from_journeys(raw)
 
 

@@ -35,17 +35,28 @@ def corridor_journeys(journeys: DataFrame, min_journeys: int = C.MIN_CORRIDOR_JO
 
 
 def named_corridor_journeys(journeys: DataFrame, min_journeys: int = C.MIN_CORRIDOR_JOURNEYS) -> DataFrame:
-    """As :func:`corridor_journeys`, with a name for each end: the least one met, so that reruns agree."""
+    """As :func:`corridor_journeys`, with a name for each end: the least one met, so that reruns agree.
+
+    Counted per spelling first: a count hashes, whereas the least of a text
+    would make Spark sort every journey.
+    """
     start, end = F.col("start_station_id"), F.col("end_station_id")
     start_name, end_name = F.trim("start_station_name"), F.trim("end_station_name")
     forward = start <= end
     return (
         journeys.where(_between_two_stations() & start_name.isNotNull() & end_name.isNotNull())
-        .groupBy(low_end(start, end).alias("station_a_id"), high_end(start, end).alias("station_b_id"))
+        .groupBy(
+            low_end(start, end).alias("station_a_id"),
+            high_end(start, end).alias("station_b_id"),
+            F.when(forward, start_name).otherwise(end_name).alias("name_a"),
+            F.when(forward, end_name).otherwise(start_name).alias("name_b"),
+        )
+        .agg(F.count(F.lit(1)).alias("spelled"))
+        .groupBy(*PAIR)
         .agg(
-            F.min(F.when(forward, start_name).otherwise(end_name)).alias("station_a_name_raw"),
-            F.min(F.when(forward, end_name).otherwise(start_name)).alias("station_b_name_raw"),
-            F.count(F.lit(1)).alias("journey_count"),
+            F.min("name_a").alias("station_a_name_raw"),
+            F.min("name_b").alias("station_b_name_raw"),
+            F.sum("spelled").alias("journey_count"),
         )
         .where(F.col("journey_count") >= F.lit(min_journeys))
     )

@@ -57,7 +57,7 @@ class Grid:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Distribute a small table before it is exploded to many rows per row.
 
-    The explicit count keeps adaptive execution from merging the partitions
+    By key, or evenly without one. The explicit count keeps adaptive execution from merging the partitions
     again: it would judge them by their size before the explosion.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -52,12 +52,12 @@ _SITE_VECTOR = ["_sx", "_sy", "_sz"]
 _POINT_VECTOR = ["_px", "_py", "_pz"]
 
 
-def _site_side(sites: DataFrame, metric: str) -> DataFrame:
+def _site_side(sites: DataFrame, metric: str, *keys: str) -> DataFrame:
     """Sites with what the pair test needs, spread for the explosion to cells."""
     if metric == "great_circle":
         vector = unit_vector(F.col("longitude"), F.col("latitude"))
         sites = sites.withColumns(dict(zip(_SITE_VECTOR, vector)))
-    return spread(sites, "longitude", "latitude")
+    return spread(sites, *keys)
 
 
 def _point_side(points: DataFrame, metric: str) -> DataFrame:
@@ -95,7 +95,7 @@ def radius_join(
     grid = Grid.of_side(radius_m)
     distance = METRICS[metric](F.col("longitude"), F.col("latitude"), F.col("point_lon"), F.col("point_lat"))
     pairs = (
-        _shuffled(disc_cells(_site_side(sites, metric), grid, radius_m, metric))
+        _shuffled(disc_cells(_site_side(sites, metric, site_key), grid, radius_m, metric))
         .join(_point_side(_placed_points(points, grid), metric), ["cell_x", "cell_y"])
         .where(_within(radius_m, metric))
         .drop("cell_x", "cell_y", "whole", *_SITE_VECTOR, *_POINT_VECTOR)
@@ -108,12 +108,17 @@ def radius_join(
     return pairs.unionByName(lonely, allowMissingColumns=True)
 
 
-def box_join(segments: DataFrame, points: DataFrame, pad_deg: float = C.CORRIDOR_PAD_DEG) -> DataFrame:
+def box_join(
+    segments: DataFrame,
+    points: DataFrame,
+    pad_deg: float = C.CORRIDOR_PAD_DEG,
+    segment_keys: Sequence[str] = ("station_a_id", "station_b_id"),
+) -> DataFrame:
     """Points inside the bounding box of each segment, widened by ``pad_deg``."""
     grid = Grid.of_side(500.0)
     west, east, south, north = padded_box(pad_deg)
     return (
-        _shuffled(box_cells(spread(segments, "lon_a", "lat_a", "lon_b", "lat_b"), grid, pad_deg))
+        _shuffled(box_cells(spread(segments, *segment_keys), grid, pad_deg))
         .join(_placed_points(points, grid), ["cell_x", "cell_y"])
         .where(F.col("point_lon").between(west, east) & F.col("point_lat").between(south, north))
         .drop("cell_x", "cell_y")

@@ -45,7 +45,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, which may go when the application has ended."""
+    return f"{shared_root(spark)}/velorisk-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

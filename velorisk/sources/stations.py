@@ -12,8 +12,9 @@ def stations_from_journeys(journeys: DataFrame) -> DataFrame:
 
     Newest file first, starts before ends, then by rental id. Rows without an
     id or a coordinate are passed over; the area filter applies to the row kept.
-    Keeping the least of a struct combines on the map side, so a station in a
-    third of all journeys costs no more than any other.
+    Journeys collapse to one row per file, role and spelling before the first
+    appearance is picked, so a station in a third of all journeys costs no more
+    than any other.
     """
     number = F.regexp_extract("source_file", r"^(\d+)JourneyDataExtract", 1).try_cast("bigint")
     age = -F.coalesce(number, F.lit(0).cast("bigint"))
@@ -21,20 +22,26 @@ def stations_from_journeys(journeys: DataFrame) -> DataFrame:
     def side(prefix: str, role: int) -> DataFrame:
         return journeys.select(
             F.col(f"{prefix}_station_id").try_cast("bigint").alias("station_id"),
-            F.struct(age.alias("age"), F.col("source_file"), F.lit(role).alias("role"), F.col("rental_id")).alias("seen"),
-            F.struct(
-                F.col(f"{prefix}_station_name").alias("station_name"),
-                F.col(f"{prefix}_lon").alias("longitude"),
-                F.col(f"{prefix}_lat").alias("latitude"),
-            ).alias("station"),
+            "source_file",
+            F.lit(role).alias("role"),
+            F.col(f"{prefix}_station_name").alias("station_name"),
+            F.col(f"{prefix}_lon").alias("longitude"),
+            F.col(f"{prefix}_lat").alias("latitude"),
+            "rental_id",
         )
 
-    both = side("start", 0).unionByName(side("end", 1))
+    met = (
+        side("start", 0)
+        .unionByName(side("end", 1))
+        .dropna(subset=["station_id", "longitude", "latitude"])
+        .groupBy("station_id", "source_file", "role", "station_name", "longitude", "latitude")
+        .agg(F.min("rental_id").alias("rental_id"))
+    )
+    seen = F.struct(age.alias("age"), "source_file", "role", "rental_id", "station_name", "longitude", "latitude")
     return (
-        both.where("station_id IS NOT NULL AND station.longitude IS NOT NULL AND station.latitude IS NOT NULL")
-        .groupBy("station_id")
-        .agg(F.min(F.struct("seen", "station")).alias("first"))
-        .select("station_id", "first.station.*")
+        met.groupBy("station_id")
+        .agg(F.min(seen).alias("first"))
+        .select("station_id", "first.station_name", "first.longitude", "first.latitude")
         .where(in_box(F.col("longitude"), F.col("latitude")))
     )
 
