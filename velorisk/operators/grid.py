@@ -8,7 +8,7 @@ is a monotone function of the coordinate.
 """
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,26 +23,50 @@ SLACK = 1.001
 PLANE = ["_per_lon", "_dx", "_dy"]
 
 
+# A cell has CHILDREN × CHILDREN children in the next finer grid, a power of two.
+CHILD_BITS = 3
+CHILDREN = 1 << CHILD_BITS
+FINER_GRIDS = 2
+
+
 @dataclass(frozen=True)
 class Grid:
-    """Cells of ``step_lon`` × ``step_lat`` degrees, counted from a fixed origin."""
+    """Cells of ``step_lon`` × ``step_lat`` degrees, counted from a fixed origin.
+
+    With ``shift``, a cell is the index in a finer grid shifted right: a point
+    then lies in a cell exactly if it lies in one of the cell's children, which
+    two separate divisions would not guarantee at the borders.
+    """
 
     step_lon: float
     step_lat: float
+    shift: int = 0
     origin_lon: float = C.LON_MIN
     origin_lat: float = C.LAT_MIN
 
     @classmethod
     def of_side(cls, metres: float, latitude: float = C.LAT_MAX) -> "Grid":
-        """Cells of about ``metres`` on each side. Only speed depends on ``latitude``."""
+        """Cells of about ``metres`` on each side, twice divisible. Only speed depends on ``latitude``."""
         step_lat = metres / C.METRES_PER_DEGREE
-        return cls(step_lat / math.cos(math.radians(latitude)), step_lat)
+        return cls(step_lat / math.cos(math.radians(latitude)), step_lat, FINER_GRIDS * CHILD_BITS)
+
+    def finer(self) -> "Grid":
+        return replace(
+            self,
+            step_lon=self.step_lon / CHILDREN,
+            step_lat=self.step_lat / CHILDREN,
+            shift=self.shift - CHILD_BITS,
+        )
+
+    def _index(self, offset: Column, step: float) -> Column:
+        fine = F.floor(offset / F.lit(step / (1 << self.shift))).cast("bigint")
+        return F.shiftright(fine, self.shift) if self.shift else fine
 
     def column_of(self, lon: Column) -> Column:
-        return F.floor((lon - F.lit(self.origin_lon)) / F.lit(self.step_lon)).cast("bigint")
+        return self._index(lon - F.lit(self.origin_lon), self.step_lon)
 
     def row_of(self, lat: Column) -> Column:
-        return F.floor((lat - F.lit(self.origin_lat)) / F.lit(self.step_lat)).cast("bigint")
+        return self._index(lat - F.lit(self.origin_lat), self.step_lat)
 
     def centre_lon(self, column: Column) -> Column:
         return F.lit(self.origin_lon) + (column + F.lit(0.5)) * F.lit(self.step_lon)
@@ -73,11 +97,6 @@ def gap_to_segment(lon: Column, lat: Column) -> Column:
     return squared_segment_gap(lon, lat, F.col("lon_a"), F.col("lat_a"), *(F.col(c) for c in PLANE))
 
 
-def _explode_rectangle(df: DataFrame, west: Column, east: Column, south: Column, north: Column, grid: Grid):
-    rows = df.withColumn("cell_y", F.explode(F.sequence(grid.row_of(south), grid.row_of(north))))
-    return rows.withColumn("cell_x", F.explode(F.sequence(grid.column_of(west), grid.column_of(east))))
-
-
 def _classify(df: DataFrame, distance: Column, half_diagonal: Column, limit: float) -> DataFrame:
     """Drop cells out of reach and mark those that lie within ``limit`` as a whole.
 
@@ -92,25 +111,64 @@ def _classify(df: DataFrame, distance: Column, half_diagonal: Column, limit: flo
     )
 
 
+def _with_row_cosine(rows: DataFrame, grid: Grid) -> DataFrame:
+    """Cosine of each row's centre latitude, taken before the row is exploded to its cells."""
+    return rows.withColumn("_cos_row", F.cos(F.radians(grid.centre_lat(F.col("cell_y")))))
+
+
+def child_cells(cells: DataFrame, finer: Grid) -> DataFrame:
+    """The children of each cell, in the next finer grid."""
+    steps = F.sequence(F.lit(0).cast("bigint"), F.lit(CHILDREN - 1).cast("bigint"))
+    rows = cells.withColumn("_j", F.explode(steps))
+    rows = rows.withColumn("cell_y", F.col("cell_y") * F.lit(CHILDREN) + F.col("_j")).drop("_j")
+    children = _with_row_cosine(rows, finer).withColumn("_i", F.explode(steps))
+    return children.withColumn("cell_x", F.col("cell_x") * F.lit(CHILDREN) + F.col("_i")).drop("_i")
+
+
+def classify_disc(cells: DataFrame, grid: Grid, radius_m: float, metric: str = "great_circle") -> DataFrame:
+    """Keep the cells in reach of the row's site, with the flag ``whole``.
+
+    For small arcs the haversine is a plain square root with one cosine per
+    end, which are columns here; the difference is far below the slack.
+    """
+    dx = grid.centre_lon(F.col("cell_x")) - F.col("longitude")
+    dy = grid.centre_lat(F.col("cell_y")) - F.col("latitude")
+    half_x, half_y = F.lit(grid.step_lon / 2), F.lit(grid.step_lat / 2)
+    scale = C.PLANAR_METRES_PER_DEGREE
+    if metric == "great_circle":
+        scale = C.METRES_PER_DEGREE
+        dx = dx * F.sqrt(F.col("_cos_site") * F.col("_cos_row"))
+        # Nowhere in the cell is the cosine larger than at its centre plus half the height in radians.
+        half_x = half_x * (F.col("_cos_row") + F.lit(math.radians(grid.step_lat / 2)))
+    centre = F.sqrt(dx * dx + dy * dy) * F.lit(scale)
+    half_diagonal = F.sqrt(half_x * half_x + half_y * half_y) * F.lit(scale)
+    return _classify(cells, centre, half_diagonal, radius_m).drop("_cos_row")
+
+
 def disc_cells(sites: DataFrame, grid: Grid, radius_m: float, metric: str = "great_circle") -> DataFrame:
     """Cells in reach of each site (``longitude``, ``latitude``), with the flag ``whole``."""
     lon, lat = F.col("longitude"), F.col("latitude")
     if metric == "great_circle":
-        scale = C.METRES_PER_DEGREE
-        reach_lat = F.lit(radius_m / scale * SLACK)
+        reach_lat = F.lit(radius_m / C.METRES_PER_DEGREE * SLACK)
         reach_lon = reach_lat / F.cos(F.radians(F.abs(lat) + reach_lat))
-        shrink = F.cos(F.radians(F.abs(grid.centre_lat(F.col("cell_y"))) - F.lit(grid.step_lat / 2)))
     elif metric == "planar_deg":
-        scale = C.PLANAR_METRES_PER_DEGREE
-        reach_lat = reach_lon = F.lit(radius_m / scale * SLACK)
-        shrink = F.lit(1.0)
+        reach_lat = reach_lon = F.lit(radius_m / C.PLANAR_METRES_PER_DEGREE * SLACK)
     else:
         raise ValueError(f"no disc cover for metric {metric!r}")
-    cells = _explode_rectangle(sites, lon - reach_lon, lon + reach_lon, lat - reach_lat, lat + reach_lat, grid)
-    half_x = F.lit(grid.step_lon / 2 * scale) * shrink
-    half_y = F.lit(grid.step_lat / 2 * scale)
-    centre = METRICS[metric](lon, lat, grid.centre_lon(F.col("cell_x")), grid.centre_lat(F.col("cell_y")))
-    return _classify(cells, centre, F.sqrt(half_x * half_x + half_y * half_y), radius_m)
+    sites = sites.withColumn("_cos_site", F.cos(F.radians(lat)))
+    rows = sites.withColumn("cell_y", F.explode(F.sequence(grid.row_of(lat - reach_lat), grid.row_of(lat + reach_lat))))
+    cells = _with_row_cosine(rows, grid).withColumn(
+        "cell_x", F.explode(F.sequence(grid.column_of(lon - reach_lon), grid.column_of(lon + reach_lon)))
+    )
+    return classify_disc(cells, grid, radius_m, metric)
+
+
+def classify_capsule(cells: DataFrame, grid: Grid, buffer_m: float) -> DataFrame:
+    """Keep the cells in reach of the row's segment, with the flag ``whole``."""
+    half_x = F.lit(grid.step_lon / 2) * F.col("_per_lon")
+    half_y = F.lit(grid.step_lat / 2 * C.METRES_PER_DEGREE)
+    centre = F.sqrt(gap_to_segment(grid.centre_lon(F.col("cell_x")), grid.centre_lat(F.col("cell_y"))))
+    return _classify(cells, centre, F.sqrt(half_x * half_x + half_y * half_y), buffer_m).drop("_cos_row")
 
 
 def capsule_cells(segments: DataFrame, grid: Grid, buffer_m: float) -> DataFrame:
@@ -150,10 +208,7 @@ def capsule_cells(segments: DataFrame, grid: Grid, buffer_m: float) -> DataFrame
             )
         ),
     ).drop("_x0", "_x1")
-    half_x = F.lit(grid.step_lon / 2) * F.col("_per_lon")
-    half_y = F.lit(grid.step_lat / 2 * C.METRES_PER_DEGREE)
-    centre = F.sqrt(gap_to_segment(grid.centre_lon(F.col("cell_x")), grid.centre_lat(F.col("cell_y"))))
-    return _classify(cells, centre, F.sqrt(half_x * half_x + half_y * half_y), buffer_m)
+    return classify_capsule(cells, grid, buffer_m)
 
 
 def padded_box(pad_deg: float) -> tuple[Column, Column, Column, Column]:
@@ -168,4 +223,6 @@ def padded_box(pad_deg: float) -> tuple[Column, Column, Column, Column]:
 
 
 def box_cells(segments: DataFrame, grid: Grid, pad_deg: float) -> DataFrame:
-    return _explode_rectangle(segments, *padded_box(pad_deg), grid)
+    west, east, south, north = padded_box(pad_deg)
+    rows = segments.withColumn("cell_y", F.explode(F.sequence(grid.row_of(south), grid.row_of(north))))
+    return rows.withColumn("cell_x", F.explode(F.sequence(grid.column_of(west), grid.column_of(east))))

@@ -6,7 +6,7 @@ shape contribute their sum in one row, and only the cells on its edge are
 compared point by point.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,18 +18,24 @@ from velorisk.operators.grid import (
     Grid,
     box_cells,
     capsule_cells,
+    child_cells,
+    classify_capsule,
+    classify_disc,
     disc_cells,
     gap_to_segment,
     padded_box,
     spread,
     with_plane,
 )
+from velorisk.session import materialise
 
 # Cells per radius (or per buffer width) for totals: finer cells leave fewer
 # points to compare, coarser ones fewer cells to shuffle.
 DISC_SPLITS = 6
 CAPSULE_SPLITS = 1
 BOX_CELL_M = 150.0
+# Distinct locations in a cell beyond which its children are used on an edge.
+CROWDED = 2000
 
 
 def _placed_points(points: DataFrame, grid: Grid) -> DataFrame:
@@ -98,7 +104,7 @@ def radius_join(
         _shuffled(disc_cells(_site_side(sites, metric, site_key), grid, radius_m, metric))
         .join(_point_side(_placed_points(points, grid), metric), ["cell_x", "cell_y"])
         .where(_within(radius_m, metric))
-        .drop("cell_x", "cell_y", "whole", *_SITE_VECTOR, *_POINT_VECTOR)
+        .drop("cell_x", "cell_y", "whole", "_cos_site", *_SITE_VECTOR, *_POINT_VECTOR)
         .withColumn("distance_m", distance)
     )
     if how == "inner":
@@ -167,22 +173,51 @@ def _by_location(points: DataFrame, measures: dict[str, Column]) -> DataFrame:
 
 def _covered_totals(
     cover: DataFrame,
-    located: DataFrame,
+    locations: DataFrame,
+    grid: Grid,
     keys: Sequence[str],
     names: Sequence[str],
     is_hit: Column,
+    classify: Callable[[DataFrame, Grid], DataFrame],
+    crowded: int,
 ) -> DataFrame:
-    """Sum ``names`` over the points of each cover: whole cells by their total, others by test."""
-    totals = located.groupBy("cell_x", "cell_y").agg(*_sums(names)).withColumn("whole", F.lit(True))
-    singles = located.withColumn("whole", F.lit(False))
-    both = singles.unionByName(totals, allowMissingColumns=True)
-    return (
+    """Sum ``names`` over the points of each cover: whole cells by their total, others by test.
+
+    Where a cell on an edge holds more than ``crowded`` locations, its children
+    take its place: most of them are inside or outside as a whole, so a hot
+    cell does not meet every shape near it point by point.
+    """
+    cell = ["cell_x", "cell_y"]
+    located = grid.locate(locations, "point_lon", "point_lat")
+    per_cell = located.groupBy(*cell).agg(*_sums(names), F.count(F.lit(1)).alias("_locations"))
+    heavy = per_cell.where(F.col("_locations") > F.lit(crowded)).select(*cell)
+    divide = grid.shift > 0 and not heavy.isEmpty()
+
+    singles = located.join(heavy, cell, "left_anti") if divide else located
+    totals = per_cell.drop("_locations").withColumn("whole", F.lit(True))
+    both = singles.withColumn("whole", F.lit(False)).unionByName(totals, allowMissingColumns=True)
+    sums = (
         _shuffled(cover)
-        .join(both, ["cell_x", "cell_y", "whole"])
+        .join(both, [*cell, "whole"])
         .where(F.col("whole") | is_hit)
         .groupBy(*keys)
         .agg(*_sums(names))
     )
+    if not divide:
+        return sums
+    finer = grid.finer()
+    edges = _shuffled(cover.where(~F.col("whole")).drop("whole")).join(heavy, cell)
+    inside = _covered_totals(
+        classify(child_cells(edges, finer), finer),
+        located.join(heavy, cell, "left_semi").drop(*cell),
+        finer,
+        keys,
+        names,
+        is_hit,
+        classify,
+        crowded,
+    )
+    return sums.unionByName(inside).groupBy(*keys).agg(*_sums(names))
 
 
 def radius_totals(
@@ -192,6 +227,7 @@ def radius_totals(
     radius_m: float = C.BLACKSPOT_RADIUS_M,
     metric: str = "great_circle",
     splits: int = DISC_SPLITS,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Sums of ``measures`` over the points within ``radius_m``, for every site location in reach of one.
 
@@ -200,13 +236,15 @@ def radius_totals(
     """
     grid = Grid.of_side(radius_m / splits)
     places = _site_side(sites.select("longitude", "latitude").distinct(), metric)
-    locations = _point_side(_by_location(points, measures), metric)
     return _covered_totals(
         disc_cells(places, grid, radius_m, metric),
-        grid.locate(locations, "point_lon", "point_lat"),
+        _point_side(materialise(_by_location(points, measures), "locations"), metric),
+        grid,
         ["longitude", "latitude"],
         list(measures),
         _within(radius_m, metric),
+        lambda cells, finer: classify_disc(cells, finer, radius_m, metric),
+        crowded,
     )
 
 
@@ -217,16 +255,20 @@ def buffer_totals(
     buffer_m: float = C.CORRIDOR_BUFFER_M,
     keys: Sequence[str] = ("station_a_id", "station_b_id"),
     splits: int = CAPSULE_SPLITS,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Sums of ``measures`` over the points within ``buffer_m`` of each segment."""
     grid = Grid.of_side(buffer_m / splits)
     ends = with_plane(spread(segments.select(*keys, "lon_a", "lat_a", "lon_b", "lat_b"), *keys))
     return _covered_totals(
         capsule_cells(ends, grid, buffer_m),
-        grid.locate(_by_location(points, measures), "point_lon", "point_lat"),
+        materialise(_by_location(points, measures), "locations"),
+        grid,
         list(keys),
         list(measures),
         gap_to_segment(F.col("point_lon"), F.col("point_lat")) <= F.lit(float(buffer_m) ** 2),
+        lambda cells, finer: classify_capsule(cells, finer, buffer_m),
+        crowded,
     )
 
 
