@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from velorisk import derived  # noqa: E402
 from velorisk.operators import blackspot, corridor, spatial, staging, temporal  # noqa: E402
 from velorisk.plans import marts  # noqa: E402
-from velorisk.session import build_session  # noqa: E402
+from velorisk.session import build_session, materialise  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -39,7 +39,8 @@ def main() -> None:
 
     def located(raw):
         stations, _, journeys = staged(raw)
-        return corridor.locate_corridors(corridor.corridor_journeys(journeys, derived.MIN_JOURNEYS), stations)
+        pairs = corridor.corridor_journeys(journeys, derived.MIN_JOURNEYS)
+        return materialise(corridor.locate_corridors(pairs, stations), "corridors")
 
     stations, accidents, journeys = staged(scattered)
     queries = {

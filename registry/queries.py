@@ -53,8 +53,7 @@ def located(spark, sf):
 
 
 def risk(spark, sf, near="buffer"):
-    corridors = located(spark, sf)
-    return corridor.with_risk(corridors, corridor.corridor_accidents(corridors, stg_accidents(spark, sf), near))
+    return corridor.score_corridors(located(spark, sf), stg_accidents(spark, sf), near)
 
 
 # Marts are stored once per session and folder, as a report finds them.
@@ -551,7 +550,7 @@ def jn6_corridors_left_accidents(spark, sf):
 
 @query
 def jn7_corridors_join_scores(spark, sf):
-    corridors = located(spark, sf)
+    corridors = materialise(located(spark, sf), "corridors")
     near = corridor.corridor_accidents(corridors, stg_accidents(spark, sf))
     return corridors.join(near, corridor.PAIR).select(*corridor.PAIR, "journey_count", "corridor_risk_raw")
 
@@ -597,12 +596,12 @@ def agg3_named_corridor_journeys(spark, sf):
 
 @query
 def agg4_corridor_accidents_buffer(spark, sf):
-    return corridor.corridor_accidents(located(spark, sf), stg_accidents(spark, sf), "buffer")
+    return corridor.corridor_accidents(materialise(located(spark, sf), "corridors"), stg_accidents(spark, sf), "buffer")
 
 
 @query
 def agg4_corridor_accidents_box(spark, sf):
-    return corridor.corridor_accidents(located(spark, sf), stg_accidents(spark, sf), "box")
+    return corridor.corridor_accidents(materialise(located(spark, sf), "corridors"), stg_accidents(spark, sf), "box")
 
 
 @query

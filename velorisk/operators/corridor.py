@@ -10,6 +10,7 @@ from velorisk.functions.labels import category_colour, corridor_label, risk_cate
 from velorisk.functions.rates import composite_risk, high_end, low_end, risk_per_km
 from velorisk.operators.positions import approximate_quantiles, exact_quantiles, with_positions, with_rank
 from velorisk.operators.spatial import box_totals, buffer_totals
+from velorisk.session import materialise
 
 PAIR = ["station_a_id", "station_b_id"]
 QUANTILES = [0.4, 0.7, 0.9]
@@ -147,6 +148,16 @@ def with_risk(corridors: DataFrame, accident_totals: DataFrame) -> DataFrame:
     )
 
 
+def score_corridors(corridors: DataFrame, accidents: DataFrame, near: str = "buffer") -> DataFrame:
+    """Located corridors to unrounded risk.
+
+    The corridors are stored: they are read twice, and counting the journeys
+    behind them is the largest scan of all.
+    """
+    corridors = materialise(corridors, "corridors")
+    return with_risk(corridors, corridor_accidents(corridors, accidents, near))
+
+
 def rank_corridors(risk: DataFrame, quantiles: str = "exact", round_first: bool = False) -> DataFrame:
     """Rank by composite score and band by its quantiles.
 
@@ -197,8 +208,7 @@ def corridor_risk(
     """Staged tables to ranked and banded corridors."""
     count = named_corridor_journeys if join_on == "name" else corridor_journeys
     corridors = locate_corridors(count(journeys, min_journeys), stations, join_on, length)
-    risk = with_risk(corridors, corridor_accidents(corridors, accidents, near))
-    return rank_corridors(risk, quantiles, round_first)
+    return rank_corridors(score_corridors(corridors, accidents, near), quantiles, round_first)
 
 
 def corridor_mart(ranked: DataFrame) -> DataFrame:

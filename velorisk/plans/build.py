@@ -151,8 +151,7 @@ def _corridor_risk(store: TableStore, config: BuildConfig) -> DataFrame:
     located = corridor.locate_corridors(
         store.read(SPATIAL, "corridor_journeys"), store.read(STAGING, "stg_bike_stations"), config.join_on
     )
-    near = corridor.corridor_accidents(located, store.read(SPATIAL, "accidents_geo"), config.near)
-    return corridor.with_risk(located, near)
+    return corridor.score_corridors(located, store.read(SPATIAL, "accidents_geo"), config.near)
 
 
 def _temporal_mart(store: TableStore, config: BuildConfig) -> DataFrame:
@@ -207,7 +206,7 @@ def run(spark: SparkSession, config: BuildConfig) -> DataFrame:
         try:
             rows, ok, message = action(), True, ""
         except Exception as error:  # noqa: BLE001 - any failure becomes a status row
-            rows, ok, message = None, False, str(error).splitlines()[0]
+            rows, ok, message = None, False, f"{type(error).__name__}: {error}".splitlines()[0]
         status.append((name, ok, rows, time.monotonic() - began, message))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 

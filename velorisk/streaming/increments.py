@@ -95,9 +95,14 @@ def _apply_batch(target: TripCounts, batch: DataFrame, batch_id: int) -> None:
     station_volumes(stored).write.mode("overwrite").parquet(f"{target.stations}/batch_id={batch_id}")
 
 
-def update(spark: SparkSession, source: str, target: TripCounts, source_format: str = "parquet") -> None:
-    """Take in every file that arrived since the last call, then stop."""
-    arriving = spark.readStream.schema(schemas.JOURNEYS).format(source_format).load(source)
+def update(
+    spark: SparkSession, source: str, target: TripCounts, source_format: str = "parquet", **options: str
+) -> None:
+    """Take in every file that arrived since the last call, then stop.
+
+    The files hold raw journeys; ``options`` go to the reader, such as ``header`` for CSV.
+    """
+    arriving = spark.readStream.schema(schemas.JOURNEYS).format(source_format).options(**options).load(source)
     (
         arriving.writeStream.foreachBatch(lambda batch, batch_id: _apply_batch(target, batch, batch_id))
         .option("checkpointLocation", target.checkpoint)
