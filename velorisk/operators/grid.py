@@ -222,6 +222,19 @@ def padded_box(pad_deg: float) -> tuple[Column, Column, Column, Column]:
     )
 
 
+def classify_box(cells: DataFrame, grid: Grid) -> DataFrame:
+    """Keep the cells that the row's box (``west``, ``east``, ``south``, ``north``) touches, with the flag ``whole``.
+
+    Indexes grow with the coordinate, so a cell strictly between those of the
+    two edges lies inside, without any tolerance.
+    """
+    x, y = F.col("cell_x"), F.col("cell_y")
+    x0, x1 = grid.column_of(F.col("west")), grid.column_of(F.col("east"))
+    y0, y1 = grid.row_of(F.col("south")), grid.row_of(F.col("north"))
+    touched = cells.where(x.between(x0, x1) & y.between(y0, y1)).drop("_cos_row")
+    return touched.withColumn("whole", (x > x0) & (x < x1) & (y > y0) & (y < y1))
+
+
 def box_cells(segments: DataFrame, grid: Grid, pad_deg: float) -> DataFrame:
     west, east, south, north = padded_box(pad_deg)
     rows = segments.withColumn("cell_y", F.explode(F.sequence(grid.row_of(south), grid.row_of(north))))

@@ -19,6 +19,7 @@ from velorisk.operators.grid import (
     box_cells,
     capsule_cells,
     child_cells,
+    classify_box,
     classify_capsule,
     classify_disc,
     disc_cells,
@@ -162,35 +163,41 @@ def _sums(names: Sequence[str]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def _by_location(points: DataFrame, measures: dict[str, Column]) -> DataFrame:
-    """One row per distinct coordinate pair. Partial sums collapse a hot spot before the shuffle."""
-    return (
+def _stored_locations(points: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """One row per distinct coordinate pair, stored, since it is read several times.
+
+    Partial sums collapse a hot spot before the shuffle.
+    """
+    sums = (
         points.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
         .groupBy(F.col("longitude").alias("point_lon"), F.col("latitude").alias("point_lat"))
         .agg(*[F.sum(expression).alias(name) for name, expression in measures.items()])
     )
+    return materialise(sums, "locations")
 
 
 def _covered_totals(
     cover: DataFrame,
-    locations: DataFrame,
+    located: DataFrame,
     grid: Grid,
     keys: Sequence[str],
     names: Sequence[str],
     is_hit: Column,
     classify: Callable[[DataFrame, Grid], DataFrame],
     crowded: int,
+    divisible: Column | None = None,
 ) -> DataFrame:
-    """Sum ``names`` over the points of each cover: whole cells by their total, others by test.
+    """Sum ``names`` over the located points of each cover: whole cells by their total, others by test.
 
     Where a cell on an edge holds more than ``crowded`` locations, its children
     take its place: most of them are inside or outside as a whole, so a hot
     cell does not meet every shape near it point by point.
     """
     cell = ["cell_x", "cell_y"]
-    located = grid.locate(locations, "point_lon", "point_lat")
     per_cell = located.groupBy(*cell).agg(*_sums(names), F.count(F.lit(1)).alias("_locations"))
     heavy = per_cell.where(F.col("_locations") > F.lit(crowded)).select(*cell)
+    if divisible is not None:
+        heavy = heavy.where(divisible)
     divide = grid.shift > 0 and not heavy.isEmpty()
 
     singles = located.join(heavy, cell, "left_anti") if divide else located
@@ -209,7 +216,7 @@ def _covered_totals(
     edges = _shuffled(cover.where(~F.col("whole")).drop("whole")).join(heavy, cell)
     inside = _covered_totals(
         classify(child_cells(edges, finer), finer),
-        located.join(heavy, cell, "left_semi").drop(*cell),
+        finer.locate(located.join(heavy, cell, "left_semi").drop(*cell), "point_lon", "point_lat"),
         finer,
         keys,
         names,
@@ -238,7 +245,7 @@ def radius_totals(
     places = _site_side(sites.select("longitude", "latitude").distinct(), metric)
     return _covered_totals(
         disc_cells(places, grid, radius_m, metric),
-        _point_side(materialise(_by_location(points, measures), "locations"), metric),
+        grid.locate(_point_side(_stored_locations(points, measures), metric), "point_lon", "point_lat"),
         grid,
         ["longitude", "latitude"],
         list(measures),
@@ -262,7 +269,7 @@ def buffer_totals(
     ends = with_plane(spread(segments.select(*keys, "lon_a", "lat_a", "lon_b", "lat_b"), *keys))
     return _covered_totals(
         capsule_cells(ends, grid, buffer_m),
-        materialise(_by_location(points, measures), "locations"),
+        grid.locate(_stored_locations(points, measures), "point_lon", "point_lat"),
         grid,
         list(keys),
         list(measures),
@@ -279,6 +286,7 @@ def box_totals(
     pad_deg: float = C.CORRIDOR_PAD_DEG,
     keys: Sequence[str] = ("station_a_id", "station_b_id"),
     cell_m: float = BOX_CELL_M,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Sums of ``measures`` over the points in each segment's padded box.
 
@@ -301,7 +309,7 @@ def box_totals(
     def row_of(lat: Column) -> Column:
         return clamp(grid.row_of(lat), last_y)
 
-    located = _by_location(points, measures).withColumns(
+    located = _stored_locations(points, measures).withColumns(
         {"cell_x": column_of(F.col("point_lon")), "cell_y": row_of(F.col("point_lat"))}
     )
     west, east, south, north = padded_box(pad_deg)
@@ -360,12 +368,19 @@ def box_totals(
             F.when(whole_row, F.sequence("x0", "x1")).otherwise(F.array_distinct(F.array("x0", "x1")))
         ),
     )
-    edge = (
-        _shuffled(rim)
-        .join(located, ["cell_x", "cell_y"])
-        .where(F.col("point_lon").between(F.col("west"), F.col("east")))
-        .where(F.col("point_lat").between(F.col("south"), F.col("north")))
-        .select(*keys, *names)
+    x, y = F.col("cell_x"), F.col("cell_y")
+    edge = _covered_totals(
+        rim.drop("x0", "x1", "y0", "y1").withColumn("whole", F.lit(False)),
+        located,
+        grid,
+        keys,
+        names,
+        F.col("point_lon").between(F.col("west"), F.col("east"))
+        & F.col("point_lat").between(F.col("south"), F.col("north")),
+        classify_box,
+        crowded,
+        # The outermost cells also hold what lies beyond them, so they have no children.
+        (x > 0) & (x < last_x) & (y > 0) & (y < last_y),
     )
     # A box without points has no row; an all-zero one would only come from the lookups.
     return edge.unionByName(inside).groupBy(*keys).agg(*_sums(names))
