@@ -129,3 +129,17 @@ def test_increments_equal_the_batch(spark, journeys_of, tmp_path):
     increments._apply_batch(target, spark.read.schema(schemas.JOURNEYS).parquet(source).where("rental_id < 10"), 0)
     again = {(r.station_a_id, r.station_b_id): r.journey_count for r in increments.pair_counts(spark, target, 1).collect()}
     assert again == got
+
+
+def test_command_line(spark, config, capsys):
+    from velorisk.__main__ import main, parse
+
+    wide, _ = parse(["--backfill"])
+    assert (wide.n_files, len(wide.years)) == (52, 6)
+    narrow, _ = parse(["--backfill", "--n-files", "3", "--accident-years", "2023,x"])
+    assert (narrow.n_files, narrow.years) == (3, [2023])
+    places = ["--root", config.root, "--journeys", config.journey_folder, "--min-journeys", "5"]
+    assert main([*places, "--accidents", *config.accident_paths]) == 0
+    assert "marts.mart_temporal_safety" in capsys.readouterr().out
+    assert main([*places, "--skip-journeys", "--accidents", "absent.csv", "--select", "staging"]) == 1
+    assert "FAILED ingest_accidents" in capsys.readouterr().out
