@@ -1,0 +1,46 @@
+"""The same results as SQL, for the operators that SQL can express."""
+
+_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+                   FROM pages),
+             g AS (SELECT payload_digest, max(page_id) AS newest FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+        SELECT page_id, payload_bytes, p.payload_digest,
+               CASE WHEN newest IS NULL OR newest = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN newest <> page_id THEN newest END AS refers_to
+        FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 1000
+    """,
+    "op2_line_dedup": f"""
+        WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+             line AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS nr FROM split),
+             keyed AS (SELECT *, trim({_LOWERED.format("line")}, {_WHITE}) AS key FROM line),
+             common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE common.key IS NOT NULL) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+        FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
+    """,
+    "op4_decontamination": rf"""
+        WITH d AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS nr FROM
+                     (SELECT doc_id, regexp_extract_all({_LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                      FROM documents)),
+             b AS (SELECT item_id, regexp_extract_all({_LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM benchmark),
+             win AS (SELECT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [w]
+                       ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) END) AS words FROM b),
+             own AS (SELECT words[1] AS word, len(words) AS n, array_to_string(words, ' ') AS joined, item_id FROM win),
+             grown AS (SELECT doc_id, nr, word, array_to_string(list(word) OVER (PARTITION BY doc_id ORDER BY nr
+                         ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING), ' ') AS next10 FROM d),
+             hit AS (SELECT DISTINCT doc_id, nr, n, item_id FROM grown JOIN own USING (word)
+                     WHERE starts_with(next10 || ' ', joined || ' ')),
+             covered AS (SELECT doc_id, count(DISTINCT nr + k) AS n_hit FROM hit, range(10) t(k) WHERE k < n GROUP BY 1),
+             items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM
+                         (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY 1),
+             sizes AS (SELECT doc_id, count(*) AS n_words FROM d GROUP BY 1)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+}
