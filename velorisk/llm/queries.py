@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.llm import decontaminate, language, lines, warc
+from velorisk.llm import decontaminate, language, lines, quality, toxicity, warc
 from velorisk.llm.common import held_out, read_table, scratch_path
 
 
@@ -49,7 +49,33 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.learn_field(docs, read_table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))))
+    m = {n: F.col(f"measures.{n}") for n in quality.COUNTS}
+    failed = quality.base_failed(m["n_words"], m["n_repeat_words"])
+    return quality.judge(docs, field).select(
+        "row.doc_id",
+        *(m[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        failed.alias("base_failed"),
+        (~failed & quality.content_enough(m["content_words"], m["n_words"])).alias("kept"),
+        m["content_words"].alias("content_words"),
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    scored = toxicity.score_toxicity(docs, toxicity.learn_toxicity(docs, labels))
+    return scored.select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_line_dedup, op4_decontamination, op6_language_id)
+    for f in (op1_warc, op2_line_dedup, op4_decontamination, op6_language_id, op7_quality, op8_toxicity)
 }
