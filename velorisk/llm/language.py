@@ -122,11 +122,11 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
     language by name. A text that is null or has no letter is ``und`` with score 0, as
     is every text if nothing was learned. Other columns pass through inside ``row``.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(profiles)
+    sent = docs.sparkSession.sparkContext.broadcast((profiles.languages, profiles.agreement))
     schema = T.StructType([T.StructField("row", docs.schema, False), T.StructField("language", ANSWER, False)])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, agreement = sent.value.languages, sent.value.agreement
+        names, agreement = sent.value
         columns = [np.ascontiguousarray(agreement[:, k]) for k in range(len(names))]
         labels = np.array([*names, UNKNOWN], object)
         for batch in pieces(batches, "text"):

@@ -241,13 +241,13 @@ def judge(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
 
     Whole texts are counted; a null text has no words. Rows may repeat, and other columns pass through inside ``row``.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(field)
+    sent = docs.sparkSession.sparkContext.broadcast((field.unary, field.steps, field.start))
     schema = T.StructType([T.StructField("row", docs.schema, False), T.StructField("measures", MEASURES, False)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             got = measure(*utf8(batch.column("text")))
-            content = viterbi(sent.value, got.features, got.line_rows) == CONTENT
+            content = viterbi(Field(*sent.value), got.features, got.line_rows) == CONTENT
             got.counts["content_words"] = np.bincount(
                 got.line_rows[content], weights=got.line_words[content], minlength=batch.num_rows
             )

@@ -181,11 +181,11 @@ def score_toxicity(docs: DataFrame, classifier: Classifier, text: str = "text")
     Whole texts are scored; a null or empty text has the score of no words. Rows
     may repeat, and other columns pass through inside ``row``.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(classifier)
+    sent = docs.sparkSession.sparkContext.broadcast((classifier.words, classifier.weights, classifier.constant))
     schema = T.StructType([T.StructField("row", docs.schema, False), T.StructField("score", T.DoubleType(), False)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = Classifier(*sent.value)
         for batch in pieces(batches, "text"):
             words, rows = features(*utf8(batch.column("text")), model.words)
             weights = model.weights[np.searchsorted(model.words, words)]
