@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.llm import decontaminate, language, lines, quality, toxicity, warc
+from velorisk.llm import decontaminate, language, lines, neardup, quality, toxicity, warc
 from velorisk.llm.common import held_out, read_table, scratch_path
 
 
@@ -28,6 +28,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, neardup.Search(percent=85, words=5))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"), n=10)
@@ -77,5 +82,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_line_dedup, op4_decontamination, op6_language_id, op7_quality, op8_toxicity)
+    for f in (op1_warc, op2_line_dedup, op3_near_duplicates, op4_decontamination, op6_language_id, op7_quality, op8_toxicity)
 }
