@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.llm import decontaminate, language, lines, neardup, quality, toxicity, warc
+from velorisk.llm import decontaminate, language, lines, neardup, quality, repeats, toxicity, warc
 from velorisk.llm.common import held_out, read_table, scratch_path
 
 
@@ -80,7 +80,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.drop_repeats(read_table(spark, sf_dir, "documents"), length=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_line_dedup, op3_near_duplicates, op4_decontamination, op6_language_id, op7_quality, op8_toxicity)
+    for f in (op1_warc, op2_line_dedup, op3_near_duplicates, op4_decontamination, op6_language_id, op7_quality, op8_toxicity, op9_repeats)
 }
