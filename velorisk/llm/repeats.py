@@ -153,7 +153,9 @@ def _ordered(length: int):
         if len(row):
             rolling = RollingHash(data)
             at = offsets[row] + begin - left[row]
-            hashes = rolling.of(at, at + length)
+            # The place within the context counts too: in a text with a period one string has several anchors.
+            with np.errstate(over="ignore"):
+                hashes = rolling.of(at, at + length) * np.uint64(31) + begin.astype(np.uint64)
             at = pos[row] - side + begin
             yield _batch(v1[row], v2[row], at, at + length, anchor[row], hashes, again[row, begin] | ~single[row])
 
