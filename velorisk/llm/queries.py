@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.llm import decontaminate, language, lines, neardup, quality, repeats, toxicity, warc
+from velorisk.llm import decontaminate, language, lines, mixing, neardup, quality, repeats, shards, toxicity, warc
 from velorisk.llm.common import held_out, read_table, scratch_path
 
 
@@ -47,6 +47,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, read_table(spark, sf_dir, "labels"))
+    return mixed.select("row.doc_id", "tokens", "posterior", "rate", "copies")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     profiles = language.learn(docs.where(~held_out(F.col("doc_id"))))
@@ -85,7 +91,23 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shards.write_shards(docs, scratch_path(spark, "shards"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_line_dedup, op3_near_duplicates, op4_decontamination, op6_language_id, op7_quality, op8_toxicity, op9_repeats)
+    for f in (
+        op1_warc,
+        op2_line_dedup,
+        op3_near_duplicates,
+        op4_decontamination,
+        op5_mixing,
+        op6_language_id,
+        op7_quality,
+        op8_toxicity,
+        op9_repeats,
+        op10_token_shards,
+    )
 }
