@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -76,8 +77,8 @@ class Written(WriterCommitMessage):
 
 
 class WarcSource(DataSource):
-    """``format("warc")``. Options: ``path``; ``payload`` = false reads headers only; ``maxFileBytes``,
-    ``maxPartitionBytes``. Columns as in ``SCHEMA``."""
+    """``format("warc")``. Options: ``path``; ``payload`` = false reads headers only; ``compress`` = false writes plain
+    archives; ``maxFileBytes``, ``maxPartitionBytes``. Columns as in ``SCHEMA``."""
 
     @classmethod
     def name(cls) -> str:
@@ -120,7 +121,7 @@ class WarcReader(DataSourceReader):
         found = [
             (f.path, f.size)
             for f in system.get_file_info(fs.FileSelector(root, recursive=False))
-            if f.is_file and f.base_name.endswith(".warc")
+            if f.is_file and f.base_name.endswith((".warc", ".warc.gz")) and f.base_name[0] not in "_."
         ]
         packed: list[list[str]] = []
         room = 0
@@ -138,7 +139,7 @@ class WarcReader(DataSourceReader):
         system, _ = located(self.path)
         rows, size = [], 0
         for path in partition.paths:
-            with system.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 16) as file:
+            with system.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 14) as file:
                 for row in records(file, self.filters, self.with_payload):
                     rows.append(row)
                     size += len(row["payload"] or b"") + 500
@@ -155,37 +156,132 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 def records(file: io.BufferedReader, filters: list[Filter] = (), with_payload: bool = True) -> Iterator[dict]:
-    """Records of an open archive. A block that no filter wants, or whose payload isn't asked for, is jumped over."""
-    while line := file.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at byte {file.tell() - len(line)}")
-        headers: dict[str, str] = {}
-        last = None
-        while (line := file.readline()).strip():
-            if line[:1] in b" \t" and last:  # a folded header goes on
-                headers[last] += " " + line.decode("utf-8", "replace").strip()
-                continue
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            last = name.strip().lower()
-            headers[last] = value.strip()
-        row = {n: headers.get(h) for n, h in _HEADERS.items()} | {"payload": None}
-        for n in _NUMBERS:
-            row[n] = int(row[n]) if row[n] is not None else None
-        if row["payload_digest"]:
-            row["payload_digest"] = hex_digest(row["payload_digest"])
+    """Records of an open archive, plain or one gzip member each. Headers are parsed first; a block that no filter
+    wants, or whose payload isn't asked for, is jumped over, and in a packed archive not unpacked either if its member
+    tells its length."""
+    packed = file.peek(2)[:2] == b"\x1f\x8b"
+    while True:
+        block = _Member(file) if packed else _Plain(file)
+        lines = block.head()
+        if lines is None:
+            return
+        row, kind = _row(lines)
         length = row["content_length"] or 0
-        if all(_holds(f, row) for f in filters) and with_payload and row["record_type"] != "revisit":
-            block = file.read(length)
-            if len(block) < length:
+        wanted = all(_holds(f, row) for f in filters)
+        if wanted and with_payload and row["record_type"] != "revisit":
+            body = block.body(length)
+            if len(body) < length:
                 raise ValueError("an archive ends within a record")
-            row["payload"] = block.partition(b"\r\n\r\n")[2] if "application/http" in headers.get("content-type", "") else block
+            row["payload"] = body.partition(b"\r\n\r\n")[2] if "application/http" in kind else body
+        else:
+            block.skip(length)
+        if wanted:
+            yield row
+
+
+def _row(lines: list[bytes]) -> tuple[dict, str]:
+    """Columns from header lines, without the payload, and the block's content type."""
+    if not lines[0].startswith(b"WARC/"):
+        raise ValueError(f"no WARC record: {lines[0][:40]!r}")
+    headers: dict[str, str] = {}
+    last = None
+    for line in lines[1:]:
+        text = line.decode("utf-8", "replace")
+        if text[:1] in " \t" and last:  # a folded header goes on
+            headers[last] += " " + text.strip()
+        else:
+            name, _, value = text.partition(":")
+            last = name.strip().lower()
+            headers[last] = value.strip()
+    row = {n: headers.get(h) for n, h in _HEADERS.items()} | {"payload": None}
+    for n in _NUMBERS:
+        row[n] = int(row[n]) if row[n] is not None else None
+    if row["payload_digest"]:
+        row["payload_digest"] = hex_digest(row["payload_digest"])
+    return row, headers.get("content-type", "")
+
+
+class _Plain:
+    """The next record of an archive that isn't packed."""
+
+    def __init__(self, file: io.BufferedReader):
+        self.file = file
+
+    def head(self) -> list[bytes] | None:
+        line = self.file.readline()
+        while line and not line.strip():
+            line = self.file.readline()
+        lines = []
+        while line.strip():
+            lines.append(line)
+            line = self.file.readline()
+        return lines or None
+
+    def body(self, length: int) -> bytes:
+        return self.file.read(length)
+
+    def skip(self, length: int) -> None:
+        self.file.seek(length, io.SEEK_CUR)
+
+
+class _Member:
+    """The next record of a packed archive: a gzip member, which may tell its length in an extra field."""
+
+    def __init__(self, file: io.BufferedReader):
+        self.file, self.start, self.length = file, file.tell(), None
+        head = file.read(10)
+        self.empty = not head
+        if head and head[:3] != b"\x1f\x8b\x08":
+            raise ValueError(f"no gzip member at byte {self.start}")
+        flags = head[3] if head else 0
+        if flags & 4:
+            extra = file.read(int.from_bytes(file.read(2), "little"))
+            while len(extra) >= 4:
+                size = int.from_bytes(extra[2:4], "little")
+                if extra[:2] == b"sl" and size == 8:
+                    self.length = int.from_bytes(extra[4:8], "little") or None
+                extra = extra[4 + size :]
+        for flag in (8, 16):  # a name, a comment
+            while flags & flag and file.read(1) not in (b"\0", b""):
+                pass
+        file.read(2 if flags & 2 else 0)
+        self.inflate, self.data, self.check = zlib.decompressobj(-15), b"", 0
+
+    def _more(self, size: int) -> bytes:
+        packed = self.file.read(size)
+        if not packed and not self.inflate.eof:
+            raise ValueError("an archive ends within a record")
+        out = self.inflate.decompress(packed)
+        self.check = zlib.crc32(out, self.check)
+        return out
+
+    def head(self) -> list[bytes] | None:
+        if self.empty:
+            return None
+        while b"\r\n\r\n" not in self.data and not self.inflate.eof:
+            self.data += self._more(1024)
+        head, _, self.data = self.data.partition(b"\r\n\r\n")
+        return head.split(b"\r\n")
+
+    def body(self, length: int) -> bytes:
+        parts = [self.data]
+        self._finish(parts.append)
+        return b"".join(parts)[:length]
+
+    def skip(self, length: int) -> None:
+        if self.length:
+            self.file.seek(self.start + self.length)
         else:
-            file.seek(length, io.SEEK_CUR)
-            if not all(_holds(f, row) for f in filters):
-                continue
-        yield row
+            self._finish(lambda part: None)
+
+    def _finish(self, take) -> None:
+        while not self.inflate.eof:
+            take(self._more(1 << 16))
+        end = self.file.tell() - len(self.inflate.unused_data)
+        self.file.seek(end)
+        if int.from_bytes(self.file.read(4), "little") != self.check:
+            raise ValueError(f"the record at byte {self.start} is damaged")
+        self.file.seek(end + 8)
 
 
 def hex_digest(value: str) -> str:
@@ -240,6 +336,7 @@ class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path, self.overwrite = options["path"], overwrite
         self.most = int(options.get("maxFileBytes", FILE_BYTES))
+        self.compress = str(options.get("compress", "true")).lower() == "true"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         context = TaskContext.get()
@@ -250,9 +347,9 @@ class WarcWriter(DataSourceArrowWriter):
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    names.append(f"{stem}-{len(names):05d}.warc")
-                    out = system.open_output_stream(f"{root}/_{names[-1]}", buffer_size=1 << 20)
-                out.write(record(row))
+                    names.append(f"{stem}-{len(names):05d}.warc" + ".gz" * self.compress)
+                    out = system.open_output_stream(f"{root}/_{names[-1]}", compression=None, buffer_size=1 << 20)
+                out.write(member(record(row)) if self.compress else record(row))
                 if out.tell() >= self.most:
                     out.close()
                     out = None
@@ -265,7 +362,7 @@ class WarcWriter(DataSourceArrowWriter):
         system.create_dir(root, recursive=True)
         if self.overwrite:
             for f in system.get_file_info(fs.FileSelector(root)):
-                if f.base_name.endswith(".warc") and not f.base_name.startswith("_"):
+                if f.base_name.endswith((".warc", ".warc.gz")) and not f.base_name.startswith("_"):
                     system.delete_file(f.path)
         for message in messages:
             for name in message.names if message else ():
@@ -304,6 +401,24 @@ def record(row: dict) -> bytes:
     return b"\r\n".join([VERSION, *lines, b"", head + body, b"", b""])
 
 
+def member(data: bytes) -> bytes:
+    """A record as a gzip member that tells its own length and that of the record, so that readers can jump over it."""
+    squeeze = zlib.compressobj(1, zlib.DEFLATED, -15)
+    body = squeeze.compress(data) + squeeze.flush()
+    total = 10 + 2 + 12 + len(body) + 8
+    told = (total if total < 1 << 32 else 0, len(data) % (1 << 32))
+    extra = b"sl" + (8).to_bytes(2, "little") + b"".join(x.to_bytes(4, "little") for x in told)
+    tail = (zlib.crc32(data), len(data) % (1 << 32))
+    return b"".join(
+        [
+            b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff",
+            len(extra).to_bytes(2, "little") + extra,
+            body,
+            *(x.to_bytes(4, "little") for x in tail),
+        ]
+    )
+
+
 def _one_line(value: str) -> str:
     return " ".join(value.split("\n")).replace("\r", " ")
 
