@@ -121,7 +121,7 @@ _known_powers: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    if len(_known_powers.get(base, ())) < n:
+    if base not in _known_powers or len(_known_powers[base]) < n:
         steps = np.full(max(n, PIECE_BYTES + 1), base, np.uint64)
         steps[0] = 1
         with np.errstate(over="ignore"):

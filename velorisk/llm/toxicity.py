@@ -45,10 +45,16 @@ def word_hash(word: str) -> int:
     return int(RollingHash(data).of(np.array([0]), np.array([len(data)]))[0])
 
 
-def swaps() -> dict[int, list[int]]:
-    """Each term's hash with those of the other terms of its kind."""
-    kinds = [[word_hash(t) for t in kind] for kind in IDENTITY_TERMS]
-    return {t: [o for o in kind if o != t] for kind in kinds for t in kind}
+def term_features() -> list[list[list[int]]]:
+    """The features of every identity term, its word first, by kind."""
+
+    def of(term: str) -> list[int]:
+        data = np.frombuffer(folded(term.encode()), np.uint8)
+        found, _ = features(data, np.array([0, len(data)]))
+        word = word_hash(term)
+        return [word, *(int(f) for f in found if int(f) != word)]
+
+    return [[of(term) for term in kind] for kind in IDENTITY_TERMS]
 
 
 def features(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +121,7 @@ def learn_toxicity(
     counted = counted.agg(F.sum("label").alias("a"), F.count("*").alias("n")).where("n > 1")
     weighed = counted.select("token", evidence(F.col("a"), F.col("n"), toxic, everything).alias("e"))
     chosen = weighed.where(F.col("e") >= LEAST_EVIDENCE).orderBy(F.desc("e"), "token").limit(MOST_FEATURES).toPandas()
-    terms = np.array(sorted(swaps()), np.uint64)
+    terms = np.array([f for kind in term_features() for term in kind for f in term], np.uint64)
     words = np.union1d(chosen.token.to_numpy(np.int64).view(np.uint64), terms)
     known = F.array(*(F.lit(int(w)) for w in words.view(np.int64)))
     rows = stored.select("label", F.array_sort(F.array_intersect("tokens", known)).alias("tokens")).toPandas()
@@ -133,20 +139,25 @@ def fit(
 ) -> Classifier:
     """Logistic loss, a ridge penalty and the counterfactual penalty over the features ``words`` (ascending hashes), by
     gradient descent over all texts at once."""
-    known = swaps()
-    terms = np.array(sorted(known), np.uint64)
     rows, flat = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.concatenate(texts)
     at = np.searchsorted(words, flat).clip(max=len(words) - 1)
     here = words[at] == flat
     rows, at = rows[here], at[here]
-    # For every text with a term: what is taken out and put in when each of its terms becomes each other of its kind.
-    pairs, lost, gained = [], [], []
-    for row, word in zip(rows[np.isin(words[at], terms)], at[np.isin(words[at], terms)], strict=True):
-        for other in known[int(words[word])]:
+    # One pair for every text with a term and every other term of its kind: ``moved`` tells which features leave (-1)
+    # and come (1) when the one becomes the other.
+    partners: dict[int, list[tuple[list[int], list[int]]]] = {}
+    for kind in term_features():
+        places = [[int(np.searchsorted(words, np.uint64(f))) for f in term] for term in kind]
+        for mine in places:
+            partners[mine[0]] = [(mine, other) for other in places if other is not mine]
+    pairs, which, moved, sign = [], [], [], []
+    for row, word in zip(rows[np.isin(at, list(partners))].tolist(), at[np.isin(at, list(partners))].tolist(), strict=True):
+        for mine, other in partners[word]:
+            which += [len(pairs)] * (len(mine) + len(other))
+            moved += mine + other
+            sign += [-1.0] * len(mine) + [1.0] * len(other)
             pairs.append(row)
-            lost.append(word)
-            gained.append(int(np.searchsorted(words, np.uint64(other))))
-    pairs, lost, gained = (np.array(x, np.int64) for x in (pairs, lost, gained))
+    pairs, which, moved, sign = np.array(pairs, np.int64), np.array(which, np.int64), np.array(moved, np.int64), np.array(sign)
     n = len(texts)
     weights, constant = np.zeros(len(words)), np.log(toxic.mean() / (1 - toxic.mean()))
     moment, energy = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
@@ -155,14 +166,15 @@ def fit(
         score = _squash(raw)
         pull = score - toxic
         if len(pairs):
-            swapped = _squash(raw[pairs] - weights[lost] + weights[gained])
+            swapped = _squash(raw[pairs] + np.bincount(which, weights=sign * weights[moved], minlength=len(pairs)))
             gap = 2 * fairness * (score[pairs] - swapped)
             slope, slope_swapped = score[pairs] * (1 - score[pairs]), swapped * (1 - swapped)
+            # Raising all weights of the text moves both scores; what is swapped moves the second one only.
             pull = pull + np.bincount(pairs, weights=gap * (slope - slope_swapped), minlength=n)
         step = np.bincount(at, weights=pull[rows], minlength=len(words)) / n + ridge * weights
         if len(pairs):
-            moved = gap * slope_swapped / n
-            step += np.bincount(lost, weights=moved, minlength=len(words)) - np.bincount(gained, weights=moved, minlength=len(words))
+            turn = -gap * slope_swapped / n
+            step += np.bincount(moved, weights=sign * turn[which], minlength=len(words))
         step = np.append(step, pull.mean())
         moment = 0.9 * moment + 0.1 * step
         energy = 0.999 * energy + 0.001 * step**2
