@@ -1,5 +1,6 @@
 """Feed files that Spark writes from the given tables, for the queries on file readers."""
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +28,52 @@ def with_coordinates(journeys: DataFrame) -> DataFrame:
 
 
 def journey_feeds(spark: SparkSession, folder: str) -> list[str]:
-    """Journeys as CSV in three header vintages, one folder each.
+    """Journeys as CSV in three header vintages, one folder each."""
+    root = scratch_path(spark, "feeds")
+    paths = []
+    for number, part, _ in vintages(spark, folder):
+        path = f"{root}/{number}JourneyDataExtract.csv"
+        part.write.option("header", True).option("escape", '"').csv(path)
+        paths.append(path)
+    return paths
+
+
+def named_journey_files(spark: SparkSession, folder: str) -> list[str]:
+    """The same as four files a vintage, ``500JourneyDataExtract0.csv`` and so on, by the id's remainder."""
+    root = scratch_path(spark, "named-feeds")
+    system, place = fs.FileSystem.from_uri(root if ":" in root else f"file://{root}")
+    paths = []
+    for number, part, key in vintages(spark, folder):
+        quarter = F.col(key) % 4
+        # One file per quarter: its rows meet in one task.
+        part.withColumn("quarter", quarter).repartition(4, "quarter").write.partitionBy("quarter").option(
+            "header", True
+        ).option("escape", '"').csv(f"{root}/{number}")
+        for k in range(4):
+            found = system.get_file_info(fs.FileSelector(f"{place}/{number}/quarter={k}", allow_not_found=True))
+            for file in (f for f in found if f.base_name.endswith(".csv") and f.base_name[0] not in "._"):
+                name = f"{number}JourneyDataExtract{k}.csv"
+                system.create_dir(f"{place}/named")
+                system.move(file.path, f"{place}/named/{name}")
+                paths.append(f"{root}/named/{name}")
+    return paths
+
 
-    A third of the rental ids goes to each vintage. Times are minutes in text,
-    and one in 13 is unreadable.
+def folder_of(paths: list[str]) -> str:
+    return paths[0].rpartition("/")[0]
+
+
+def write_text(path: str, text: str) -> None:
+    system, place = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+    with system.open_output_stream(place) as file:
+        file.write(text.encode())
+
+
+def vintages(spark: SparkSession, folder: str) -> list[tuple[int, DataFrame, str]]:
+    """Number, rows and id column of each header vintage.
+
+    A third of the rental ids goes to each. Times are minutes in text, and one in
+    13 is unreadable.
     """
     rows = with_coordinates(derived.journeys(spark, folder))
 
@@ -77,13 +120,7 @@ def journey_feeds(spark: SparkSession, folder: str) -> list[str]:
         F.concat(F.floor(F.col("duration_seconds") / 60).cast("string"), F.lit("m")).alias("Total duration"),
         (F.col("duration_seconds") * 1000).alias("Total duration (ms)"),
     )
-    root = scratch_path(spark, "feeds")
-    paths = []
-    for number, part in ((500, title), (501, snake), (502, recent)):
-        path = f"{root}/{number}JourneyDataExtract.csv"
-        part.write.option("header", True).option("escape", '"').csv(path)
-        paths.append(path)
-    return paths
+    return [(500, title, "Rental Id"), (501, snake, "rental_id"), (502, recent, "Number")]
 
 
 def collision_feed(spark: SparkSession, folder: str, older_names: bool = False) -> str:

@@ -292,6 +292,7 @@ _MODEL_ROWS = {
     "spatial_layer.accidents_geo": "stg_accidents",
     "spatial_layer.stations_geo": "raw_stations",
     "spatial_layer.station_blackspot_scores": "stg_stations",
+    "spatial_layer.directed_trips": "(SELECT DISTINCT a, b FROM stg_journeys)",
     "spatial_layer.corridor_journeys": "pairs",
     "spatial_layer.corridor_risk": "corridors",
     "spatial_layer.monthly_accident_trend": "monthly",
@@ -304,20 +305,65 @@ _MODEL_ROWS = {
 }
 
 
+def _repeated(table: str, key: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1))"
+
+
+_JOURNEY_ERRORS = f"(SELECT count(*) FROM damaged WHERE a IS NULL) + {_repeated('raw_journeys', 'rental_id')}"
+_STAGING = ["staging.stg_bike_journeys", "staging.stg_bike_stations", "staging.stg_accidents"]
+_TESTS = {
+    "test_raw.tfl_journeys": f"{_repeated('raw_journeys', 'rental_id')} = 0",
+    "test_raw.tfl_stations": "TRUE",
+    "test_raw.uk_accidents": "TRUE",
+}
+
+
 def _steps(models: dict[str, str]) -> str:
-    unsized = ["check_raw", "staging.stg_bike_journeys", "staging.stg_bike_stations", "staging.stg_accidents"]
-    parts = [f"SELECT '{s}' AS step, TRUE AS ok, CAST(NULL AS BIGINT) AS rows" for s in unsized]
+    parts = ["SELECT 'check_raw' AS step, TRUE AS ok, CAST(NULL AS BIGINT) AS rows", "SELECT 'seeds.london_boroughs', TRUE, 33"]
+    parts += [f"SELECT '{s}', {ok}, NULL" for s, ok in _TESTS.items()]
+    parts += [f"SELECT '{s}', TRUE, NULL" for s in _STAGING]
     parts += [f"SELECT '{model}', TRUE, (SELECT count(*) FROM {source})" for model, source in models.items()]
     return " UNION ALL ".join(parts)
 
 
 add("pip4_ordered_run", _steps(_MODEL_ROWS))
 add("pip6_partial_rebuild", _steps({k: v for k, v in _MODEL_ROWS.items() if k.startswith("spatial_layer")}))
-_BACKFILLED = f"(SELECT count(*) FROM raw_accidents WHERE {IN_BOX} AND k % 17 <> 0 AND year IN (1996, 1997, 1998))"
+# What reads neither the journeys nor a table made of them.
+_UNHARMED = {
+    "spatial_layer.accidents_geo",
+    "spatial_layer.stations_geo",
+    "spatial_layer.station_blackspot_scores",
+    "spatial_layer.monthly_accident_trend",
+    "intermediate.int_temporal_hourly",
+    "marts.mart_temporal_safety",
+}
+add(
+    "pip4_damaged_run",
+    " UNION ALL ".join(
+        [
+            "SELECT 'check_raw' AS step, 'built' AS state, FALSE AS warned, CAST(NULL AS BIGINT) AS rows",
+            "SELECT 'seeds.london_boroughs', 'built', FALSE, 33",
+            f"""SELECT 'test_raw.tfl_journeys', CASE WHEN {_JOURNEY_ERRORS} > 0 THEN 'failed' ELSE 'built' END,
+                (SELECT count(*) FROM damaged WHERE b IS NULL) > 0, NULL""",
+            "SELECT 'test_raw.tfl_stations', 'built', FALSE, NULL",
+            "SELECT 'test_raw.uk_accidents', 'built', FALSE, NULL",
+            f"SELECT '{_STAGING[0]}', 'skipped', FALSE, NULL",
+            *(f"SELECT '{s}', 'built', FALSE, NULL" for s in _STAGING[1:]),
+            *(
+                f"SELECT '{model}', 'built', FALSE, (SELECT count(*) FROM {source})"
+                if model in _UNHARMED
+                else f"SELECT '{model}', 'skipped', FALSE, NULL"
+                for model, source in _MODEL_ROWS.items()
+            ),
+        ]
+    ),
+)
 add(
     "pip5_backfill_run",
-    f"SELECT 'ingest_accidents' AS step, TRUE AS ok, {_BACKFILLED} AS rows"
-    f" UNION ALL SELECT 'raw.uk_accidents', TRUE, {_BACKFILLED}",
+    f"""SELECT 'ingest_accidents' AS step, TRUE AS ok, (SELECT count(*) FROM raw_accidents
+          WHERE {IN_BOX} AND k % 17 <> 0 AND year IN (1996, 1997, 1998)) AS rows, '' AS message
+        UNION ALL SELECT 'ingest_journeys', TRUE, (SELECT count(*) FROM csv_journeys),
+          'passed over: 999JourneyDataExtract.csv'""",
 )
 
 add(
@@ -329,7 +375,11 @@ add(
        CASE WHEN vintage = 2 THEN duration_seconds * 1000e0 / 1000e0 ELSE duration_seconds END AS duration_seconds,
        CASE WHEN vintage = 2 THEN duration_seconds * 1000e0 END AS duration_ms FROM csv_journeys""",
 )
-add("src2_source_file_tag", "SELECT 'part.csv' AS source_file, count(*) AS n FROM csv_journeys")
+add(
+    "src2_source_file_tag",
+    """SELECT (500 + vintage) || 'JourneyDataExtract' || rental_id % 4 || '.csv' AS source_file, count(*) AS n
+       FROM csv_journeys GROUP BY ALL""",
+)
 _EXTRACTS = "file_names WHERE regexp_matches(path, 'JourneyDataExtract.*\\.csv$', 'i')"
 _NUMBER = "coalesce(TRY_CAST(regexp_extract(path, '/([0-9]+)JourneyDataExtract', 1) AS BIGINT), 0)"
 add(
@@ -476,6 +526,10 @@ add(
     """SELECT station_id, weighted_risk_score, is_blackspot FROM mart_blackspot
        WHERE is_blackspot AND weighted_risk_score >= 100""",
 )
+add(
+    "flt9_accident_severity",
+    "SELECT accident_index, severity_label FROM stg_accidents WHERE severity_label IN ('Fatal', 'Slight')",
+)
 add(
     "flt10_corridor_filters",
     f"""SELECT {PAIR}, risk_category, journey_count FROM buffer_mart
@@ -508,7 +562,15 @@ add("jn5_pairs_to_stations_by_name", "SELECT * EXCLUDE (length_m) FROM corridors
 add("jn6_corridors_left_accidents", f"SELECT {PAIR}, corridor_accident_count, corridor_risk_raw FROM buffer_risk")
 add(
     "jn7_corridors_join_scores",
-    f"""SELECT {PAIR}, journey_count, corridor_risk_raw FROM buffer_risk WHERE corridor_accident_count > 0""",
+    f"SELECT {PAIR}, journey_count, corridor_accident_count, corridor_risk_raw FROM buffer_risk",
+)
+_NARROW = f"""SELECT {PAIR}, count(*) AS corridor_accident_count, CAST(sum({STRICT}) AS BIGINT) AS corridor_risk_raw
+    FROM corridors JOIN stg_accidents
+      ON {to_segment('longitude', 'latitude', 'lon_a', 'lat_a', 'lon_b', 'lat_b')} <= 5 GROUP BY ALL"""
+add(
+    "jn7_corridors_join_scores_narrow",
+    f"""SELECT {PAIR}, journey_count, coalesce(corridor_accident_count, 0) AS corridor_accident_count,
+       coalesce(corridor_risk_raw, 0) AS corridor_risk_raw FROM corridors LEFT JOIN ({_NARROW}) USING ({PAIR})""",
 )
 add(
     "jn8_stations_left_scores_left_volumes",
@@ -516,9 +578,7 @@ add(
 )
 add(
     "jn9_cross_join_thresholds",
-    f"""SELECT {PAIR}, {band('length_m')} AS band FROM corridors CROSS JOIN
-       (SELECT quantile_cont(length_m, 0.4) AS p40, quantile_cont(length_m, 0.7) AS p70,
-        quantile_cont(length_m, 0.9) AS p90 FROM corridors)""",
+    f"SELECT {PAIR}, risk_category AS band FROM buffer_ranked",
 )
 
 add("agg1_station_scores", "SELECT * FROM station_totals")
@@ -531,6 +591,13 @@ add(
 )
 add("agg4_corridor_accidents_buffer", "SELECT * FROM buffer_totals")
 add("agg4_corridor_accidents_box", "SELECT * FROM box_totals")
+add("agg4_corridor_accidents_narrow", _NARROW)
+add(
+    "agg4_small_boxes",
+    f"""SELECT station_id, count(*) AS corridor_accident_count, CAST(sum({STRICT}) AS BIGINT) AS corridor_risk_raw
+       FROM stg_stations s JOIN stg_accidents p ON p.longitude BETWEEN s.longitude - 0.0005e0 AND s.longitude + 0.0005e0
+        AND p.latitude BETWEEN s.latitude - 0.0005e0 AND s.latitude + 0.0005e0 GROUP BY ALL""",
+)
 add("agg5_station_volumes", "SELECT * FROM volumes")
 add("agg6_hourly", "SELECT * FROM hourly_counts")
 add("agg7_period_summary", "SELECT * FROM periods")
@@ -547,9 +614,19 @@ add(
     """SELECT quantile_cont(CAST(seconds AS DOUBLE), 0.4) AS p40, quantile_cont(CAST(seconds AS DOUBLE), 0.7) AS p70,
        quantile_cont(CAST(seconds AS DOUBLE), 0.9) AS p90 FROM stg_journeys""",
 )
+_SPARSE = """(SELECT least(a, b) AS station_a_id, greatest(a, b) AS station_b_id,
+    CASE WHEN (a + b) % 3 <> 0 THEN count(*) END AS journey_count FROM stg_journeys
+    GROUP BY least(a, b), greatest(a, b), a + b)"""
+add(
+    "agg10_exact_quantiles_with_nulls",
+    f"""SELECT quantile_cont(CAST(journey_count AS DOUBLE), 0.4) AS p40,
+       quantile_cont(CAST(journey_count AS DOUBLE), 0.7) AS p70,
+       quantile_cont(CAST(journey_count AS DOUBLE), 0.9) AS p90 FROM {_SPARSE}""",
+)
 add(
     "agg11_approximate_quantiles",
-    "SELECT count(*) > 0 AS p40_close, count(*) > 0 AS p70_close, count(*) > 0 AS p90_close FROM stg_journeys",
+    """SELECT quantile_disc(seconds % 61, 0.4) AS p40, quantile_disc(seconds % 61, 0.7) AS p70,
+       quantile_disc(seconds % 61, 0.9) AS p90 FROM stg_journeys""",
 )
 add(
     "agg12_record_counts",
@@ -635,6 +712,10 @@ add(
     f"""SELECT *, rank() OVER (ORDER BY journey_count DESC) AS risk_rank FROM (SELECT least(a, b) AS station_a_id,
        greatest(a, b) AS station_b_id, count(*) AS journey_count FROM stg_journeys GROUP BY ALL)""",
 )
+add(
+    "win3_rank_with_nulls",
+    f"SELECT *, rank() OVER (ORDER BY journey_count DESC NULLS LAST) AS risk_rank FROM {_SPARSE}",
+)
 add("win4_share_of_year", "SELECT * FROM hourly")
 add(
     "win5_first_station_seen",
@@ -651,6 +732,8 @@ add(
 )
 
 add("srt1_mart_order", "SELECT * FROM mart_blackspot ORDER BY weighted_risk_score DESC, station_id")
+add("srt1_corridor_order", f"SELECT * FROM buffer_mart ORDER BY risk_rank, {PAIR}")
+add("srt1_temporal_order", "SELECT * FROM mart_temporal ORDER BY grain, year NULLS LAST, dimension, day_type NULLS LAST")
 add("srt2_top_corridors", f"SELECT * FROM buffer_mart ORDER BY risk_rank, {PAIR} LIMIT 50")
 add(
     "srt3_top_stations",
@@ -663,7 +746,7 @@ add(
 add(
     "srt5_accident_sample",
     """SELECT accident_index, longitude, latitude, accident_severity, severity_label, number_of_casualties, hour_of_day,
-       day_of_week, day_type, year FROM stg_accidents ORDER BY md5(accident_index), accident_index LIMIT 100000""",
+       day_of_week, day_type, year FROM stg_accidents ORDER BY md5(accident_index), accident_index LIMIT 1000""",
 )
 add(
     "srt6_numeric_order",
@@ -771,10 +854,6 @@ def _check(name: str, severity: str, count: str) -> str:
     return f"SELECT '{name}' AS check_name, '{severity}' AS severity, {count} AS n_failing"
 
 
-def _repeated(table: str, key: str) -> str:
-    return f"(SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1))"
-
-
 _NO_ID = _check("not_null:rental_id", "error", "CAST(0 AS BIGINT)")
 _NO_START = _check("not_null:start_station_id", "error", "(SELECT count(*) FROM damaged WHERE a IS NULL)")
 _NO_END = _check("not_null:end_station_id", "warn", "(SELECT count(*) FROM damaged WHERE b IS NULL)")
@@ -811,11 +890,15 @@ add(
         ]
     ),
 )
+_COUNTED_ONCE = """(SELECT a, b FROM (SELECT *, row_number() OVER (PARTITION BY rental_id ORDER BY a, b) AS place
+    FROM stg_journeys) WHERE place = 1)"""
 add(
     "str1_incremental_pairs",
-    """SELECT least(a, b) AS station_a_id, greatest(a, b) AS station_b_id, count(*) AS journey_count FROM (
-         SELECT rental_id, a, b, duration_seconds, row_number() OVER (PARTITION BY rental_id
-           ORDER BY a, b, duration_seconds, start_date) AS place FROM raw_journeys)
-       WHERE place = 1 AND a <> b AND CAST(floor(duration_seconds + 0.5e0) AS BIGINT) BETWEEN 60 AND 86400
+    f"""SELECT least(a, b) AS station_a_id, greatest(a, b) AS station_b_id, count(*) AS journey_count FROM {_COUNTED_ONCE}
        GROUP BY ALL HAVING count(*) >= 20""",
 )
+add(
+    "str1_incremental_stations",
+    f"""SELECT station_id, count(*) AS total_trips FROM (SELECT a AS station_id FROM {_COUNTED_ONCE}
+       UNION ALL SELECT b FROM {_COUNTED_ONCE}) GROUP BY ALL""",
+)

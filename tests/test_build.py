@@ -1,11 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from velorisk import schemas
 from velorisk.operators import quality
-from velorisk.plans import build
+from velorisk.plans import build, marts
 from velorisk.session import materialise, shared_root
 from velorisk.sources import tables
-from velorisk.sources.journeys import to_journey_schema
+from velorisk.sources.journeys import read_journeys, to_journey_schema
 from velorisk.streaming import increments
 
 ACCIDENTS = (
@@ -41,6 +42,7 @@ def config(spark, tmp_path):
         casualty_paths=[str(related)],
         vehicle_paths=[str(related)],
         min_journeys=5,
+        years=[2022, 2023, 2024],
     )
 
 
@@ -85,6 +87,66 @@ def test_a_failed_step_does_not_stop_the_others(spark, config):
     assert not status["check_raw"].ok and "uk_accidents" in status["check_raw"].message
     assert status["spatial_layer.corridor_journeys"].ok
     assert not status["marts.mart_blackspot_analysis"].ok
+    assert status["marts.mart_blackspot_analysis"].message.startswith("skipped: ")
+
+
+def test_stale_tables_are_not_taken_for_new_ones(spark, config):
+    assert build.succeeded(build.run(spark, config))
+    store = tables.TableStore(spark, config.root)
+    store.replace("raw", "tfl_stations", spark.range(3).withColumnRenamed("id", "station_id"))
+    status = {r.step: r for r in build.run(spark, build.replace(config, skip_ingest=True)).collect()}
+    assert not status["staging.stg_bike_stations"].ok
+    for skipped in ("spatial_layer.station_blackspot_scores", "intermediate.int_corridor_risk", "marts.mart_corridor_risk_score"):
+        assert status[skipped].message.startswith("skipped: ")
+    assert status["marts.mart_temporal_safety"].ok
+
+
+def test_failed_tests_hold_back_or_not(spark, config):
+    build.run(spark, config)
+    store = tables.TableStore(spark, config.root)
+    twice = store.read("raw", "tfl_journeys")
+    store.replace("raw", "tfl_journeys", twice.unionByName(twice.limit(1)))
+    held = {r.step: r for r in build.run(spark, build.replace(config, skip_ingest=True)).collect()}
+    assert "error unique:rental_id: 1" in held["test_raw.tfl_journeys"].message
+    assert held["marts.mart_corridor_risk_score"].message.startswith("skipped: needs")
+    free = build.run(spark, build.replace(config, skip_ingest=True, on_failed_test="continue"))
+    assert [r.step for r in free.where("NOT ok").collect()] == ["test_raw.tfl_journeys"]
+
+
+def test_run_and_marts_agree(spark, config, tmp_path):
+    """Also on accidents without an index, which staging drops."""
+    (tmp_path / "accidents.csv").write_text(ACCIDENTS + ",-0.1149,51.5036,1,02/06/2023,09:30,5,6,2023\n")
+    config = build.replace(config, on_failed_test="continue")
+    build.run(spark, config)
+    store = tables.TableStore(spark, config.root)
+    stations, accidents, journeys = (store.read("raw", t) for t in ("tfl_stations", "uk_accidents", "tfl_journeys"))
+    for name, df in (
+        ("mart_blackspot_analysis", marts.blackspots(stations, accidents, journeys)),
+        ("mart_corridor_risk_score", marts.corridors(stations, accidents, journeys, min_journeys=5)),
+        ("mart_temporal_safety", marts.temporal_patterns(accidents)),
+    ):
+        columns = sorted(df.columns)
+        rows = [sorted(map(repr, x.select(columns).collect())) for x in (store.read("marts", name), df)]
+        assert rows[0] == rows[1], name
+
+
+def test_a_run_leaves_only_its_tables(spark, config, tmp_path):
+    build.run(spark, config)
+    build.run(spark, config)
+    left = {p.name for layer in (tmp_path / "tables").iterdir() for p in layer.iterdir() if not p.name.endswith(".crc")}
+    named = {m.name for m in build.models() if m.layer != "staging"}
+    raw = {"tfl_journeys", "tfl_stations", "uk_accidents", "uk_casualties", "uk_vehicles"}
+    assert left == named | raw | {"london_boroughs"}
+
+
+def test_unreadable_files_are_passed_over(spark, config, tmp_path):
+    (tmp_path / "feeds" / "12JourneyDataExtract.csv").write_text("no,journeys\n1,2\n")
+    (tmp_path / "feeds" / "13JourneyDataExtract.csv").write_text("")
+    skipped = []
+    paths = [str(tmp_path / "feeds" / f"{n}JourneyDataExtract.csv") for n in (10, 11, 12, 13)] + [str(tmp_path / "absent.csv")]
+    rows = read_journeys(spark, paths, skipped=skipped)
+    assert rows.count() == 10
+    assert sorted(p.rpartition("/")[2] for p in skipped) == ["12JourneyDataExtract.csv", "13JourneyDataExtract.csv", "absent.csv"]
 
 
 def test_store(spark, store):
@@ -131,6 +193,17 @@ def test_increments_equal_the_batch(spark, journeys_of, tmp_path):
     assert again == got
 
 
+def test_a_rental_counts_once_whatever_its_month(spark, journeys_of, tmp_path):
+    rows = to_journey_schema(journeys_of([(1, 1, 2), (1, 1, 3), (2, 1, 2)]).withColumn("start_date", F.lit("2023-06-01").cast("timestamp")))
+    target, source = increments.TripCounts(str(tmp_path / "counts")), str(tmp_path / "arriving")
+    rows.withColumn("start_date", F.lit(None).cast("timestamp")).write.mode("append").parquet(source)
+    increments.update(spark, source, target)
+    rows.withColumn("start_date", F.add_months("start_date", 1).cast("timestamp")).write.mode("append").parquet(source)
+    increments.update(spark, source, target)
+    got = {(r.station_a_id, r.station_b_id): r.journey_count for r in increments.pair_counts(spark, target, 1).collect()}
+    assert got == {(1, 2): 2}
+
+
 def test_command_line(spark, config, capsys):
     from velorisk.__main__ import main, parse
 

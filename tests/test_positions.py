@@ -74,3 +74,13 @@ def test_hash_sample_is_exact_and_repeatable(scores, n):
     assert len(first) == min(n, 1003)
     want = [r.id for r in scores.orderBy(F.md5(F.col("id").cast("string"))).limit(n).collect()]
     assert first == want
+
+
+def test_nulls_keep_their_rank_and_count_for_no_quantile(spark):
+    rows = spark.createDataFrame([(1, 5), (2, None), (3, 2), (4, None), (5, 1)], "k bigint, v bigint")
+    for order, descending in ((F.asc("v"), False), (F.desc("v"), True)):
+        placed = positions.with_positions(rows, order, F.asc("k"))
+        ranks = {r.k: r.risk_rank for r in positions.with_rank(placed, "v").collect()}
+        assert ranks == ({2: 1, 4: 1, 5: 3, 3: 4, 1: 5} if not descending else {1: 1, 3: 2, 5: 3, 2: 4, 4: 4})
+        got = positions.exact_quantiles(placed, "v", [0.4, 0.7, 0.9], descending).first()
+        assert [round(x, 6) for x in got] == [1.8, 3.2, 4.4]

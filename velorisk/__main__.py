@@ -20,8 +20,8 @@ def parse(arguments: list[str]) -> tuple[BuildConfig, str | None]:
     parser.add_argument("--accidents", nargs="*", default=[], help="candidate files, the first readable one is taken")
     parser.add_argument("--casualties", nargs="*", default=[])
     parser.add_argument("--vehicles", nargs="*", default=[])
-    parser.add_argument("--n-files", type=int, help="newest journey files to take")
-    parser.add_argument("--accident-years", help="comma-separated")
+    parser.add_argument("--n-files", type=int, help="newest journey files to take; all without it")
+    parser.add_argument("--accident-years", help="comma-separated; all without it")
     parser.add_argument("--backfill", action="store_true", help="a year of journey files and six years of accidents")
     parser.add_argument("--skip-ingest", action="store_true")
     parser.add_argument("--skip-journeys", action="store_true")
@@ -31,6 +31,14 @@ def parse(arguments: list[str]) -> tuple[BuildConfig, str | None]:
     parser.add_argument("--min-journeys", type=int, default=C.MIN_CORRIDOR_JOURNEYS)
     parser.add_argument("--near", choices=["buffer", "box"], default="buffer")
     parser.add_argument("--join-on", choices=["id", "name"], default="id")
+    parser.add_argument("--day-first-times", action="store_true", help="read dd/MM/yyyy HH:mm too")
+    parser.add_argument("--on-failed-test", choices=["skip", "continue"], default="skip")
+    parser.add_argument("--metric", choices=["great_circle", "planar_deg"], default="great_circle")
+    parser.add_argument("--buffer-m", type=float, default=C.CORRIDOR_BUFFER_M)
+    parser.add_argument("--pad-deg", type=float, default=C.CORRIDOR_PAD_DEG)
+    parser.add_argument("--length", choices=["great_circle", "equirectangular"], default="great_circle")
+    parser.add_argument("--quantiles", choices=["exact", "approximate"], default="exact")
+    parser.add_argument("--round-first", action="store_true", help="rank and band on the rounded score")
     args = parser.parse_args(arguments)
     wide = backfill(BuildConfig()) if args.backfill else BuildConfig()
     years = [int(y) for y in args.accident_years.split(",") if y.strip().isdigit()] if args.accident_years else wide.years
@@ -51,6 +59,14 @@ def parse(arguments: list[str]) -> tuple[BuildConfig, str | None]:
         min_journeys=args.min_journeys,
         near=args.near,
         join_on=args.join_on,
+        day_first_times=args.day_first_times,
+        on_failed_test=args.on_failed_test,
+        metric=args.metric,
+        buffer_m=args.buffer_m,
+        pad_deg=args.pad_deg,
+        length=args.length,
+        quantiles=args.quantiles,
+        round_first=args.round_first,
     )
     return config, args.master
 

@@ -71,8 +71,5 @@ LOWEST_CATEGORY = ("Low", "#91cf60", 2, 0.55)
 DEFAULT_LINE_WEIGHT = 4
 DEFAULT_LINE_OPACITY = 0.65
 
-ACCIDENT_SAMPLE_ROWS = 100_000
-DEFAULT_N_FILES = 12
-DEFAULT_YEARS = [2022, 2023, 2024]
 BACKFILL_N_FILES = 52
 BACKFILL_YEARS = [2019, 2020, 2021, 2022, 2023, 2024]

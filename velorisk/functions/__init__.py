@@ -1,43 +0,0 @@
-from velorisk.functions.casts import (
-    month_key,
-    clean_text,
-    day_first_date,
-    hour_of_clock,
-    iso_minute_timestamp,
-    round_half_up,
-    safe_cast,
-    to_long,
-    to_number,
-)
-from velorisk.functions.geo import (
-    equirectangular_m,
-    haversine_m,
-    in_box,
-    midpoint,
-    planar_degrees_m,
-    segment_distance_m,
-)
-from velorisk.functions.labels import (
-    category_colour,
-    corridor_label,
-    day_type,
-    decile_colour,
-    is_blackspot,
-    line_opacity,
-    line_weight,
-    period_of_day,
-    period_position,
-    risk_category,
-    scoring_weight,
-    severity_label,
-    severity_weight,
-    title_label,
-    weekday_name,
-)
-from velorisk.functions.rates import (
-    composite_risk,
-    high_end,
-    low_end,
-    risk_per_1000_trips,
-    risk_per_km,
-)

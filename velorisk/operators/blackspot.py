@@ -56,6 +56,12 @@ def trips_by_end(journeys: DataFrame) -> DataFrame:
     return starts.unionAll(ends)
 
 
+def volumes_of_trips(trips: DataFrame) -> DataFrame:
+    """As :func:`station_volumes`, from journeys counted by direction."""
+    ends = F.explode(F.array("start_station_id", "end_station_id"))
+    return trips.select(ends.alias("station_id"), "trips").groupBy("station_id").agg(F.sum("trips").alias("total_trips"))
+
+
 def station_volumes(journeys: DataFrame) -> DataFrame:
     """Trips started plus trips ended, in one pass over the journeys."""
     return (

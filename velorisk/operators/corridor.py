@@ -35,6 +35,22 @@ def corridor_journeys(journeys: DataFrame, min_journeys: int = C.MIN_CORRIDOR_JO
     )
 
 
+def directed_trips(journeys: DataFrame) -> DataFrame:
+    """Journeys counted per start and end station: all that corridors and station volumes need of them."""
+    return journeys.groupBy("start_station_id", "end_station_id").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def corridors_of_trips(trips: DataFrame, min_journeys: int = C.MIN_CORRIDOR_JOURNEYS) -> DataFrame:
+    """As :func:`corridor_journeys`, from journeys counted by direction."""
+    start, end = F.col("start_station_id"), F.col("end_station_id")
+    return (
+        trips.where(_between_two_stations())
+        .groupBy(low_end(start, end).alias("station_a_id"), high_end(start, end).alias("station_b_id"))
+        .agg(F.sum("trips").alias("journey_count"))
+        .where(F.col("journey_count") >= F.lit(min_journeys))
+    )
+
+
 def named_corridor_journeys(journeys: DataFrame, min_journeys: int = C.MIN_CORRIDOR_JOURNEYS) -> DataFrame:
     """As :func:`corridor_journeys`, with a name for each end: the least one met, so that reruns agree.
 
@@ -136,6 +152,11 @@ def corridor_accidents(
     raise ValueError(f"near must be 'buffer' or 'box', not {near!r}")
 
 
+def corridors_with_scores(corridors: DataFrame, scores: DataFrame) -> DataFrame:
+    """Corridors joined to a table that scores each of them, those without accidents with 0, as :func:`with_risk` makes it."""
+    return corridors.select(*PAIR, "journey_count").join(scores.select(*PAIR, *corridor_measures()), PAIR)
+
+
 def with_risk(corridors: DataFrame, accident_totals: DataFrame) -> DataFrame:
     """Unrounded risk per kilometre and composite score."""
     joined = corridors.join(accident_totals, PAIR, "left").fillna(0, list(corridor_measures()))
@@ -148,14 +169,20 @@ def with_risk(corridors: DataFrame, accident_totals: DataFrame) -> DataFrame:
     )
 
 
-def score_corridors(corridors: DataFrame, accidents: DataFrame, near: str = "buffer") -> DataFrame:
+def score_corridors(
+    corridors: DataFrame,
+    accidents: DataFrame,
+    near: str = "buffer",
+    buffer_m: float = C.CORRIDOR_BUFFER_M,
+    pad_deg: float = C.CORRIDOR_PAD_DEG,
+) -> DataFrame:
     """Located corridors to unrounded risk.
 
     The corridors are stored: they are read twice, and counting the journeys
     behind them is the largest scan of all.
     """
     corridors = materialise(corridors, "corridors")
-    return with_risk(corridors, corridor_accidents(corridors, accidents, near))
+    return with_risk(corridors, corridor_accidents(corridors, accidents, near, buffer_m, pad_deg))
 
 
 def rank_corridors(risk: DataFrame, quantiles: str = "exact", round_first: bool = False) -> DataFrame:

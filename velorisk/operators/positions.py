@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 
 from velorisk.session import materialise
 
-_OFFSET_BITS = 33  # monotonically_increasing_id keeps the offset in the low 33 bits
+_OFFSET_BITS = 33  # monotonically_increasing_id keeps the offset in the low 33 bits, without a check
+
+
+def _within_range_limit(rows: Column) -> Column:
+    full = F.lit(1 << _OFFSET_BITS)
+    return F.when(rows < full, rows).otherwise(
+        F.raise_error(F.lit("a range holds 2^33 rows or more: raise spark.sql.shuffle.partitions")).cast("bigint")
+    )
 
 
 def with_positions(df: DataFrame, *order: Column) -> DataFrame:
@@ -31,7 +38,7 @@ def with_positions(df: DataFrame, *order: Column) -> DataFrame:
         F.col("_slot").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)).alias("_offset"),
     )
     # One row per range, so at most spark.sql.shuffle.partitions rows from here to the broadcast.
-    ranges = stored.groupBy("range_no").agg(F.count(F.lit(1)).alias("_rows"))
+    ranges = stored.groupBy("range_no").agg(_within_range_limit(F.count(F.lit(1))).alias("_rows"))
     before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = ranges.select(
@@ -59,23 +66,29 @@ def ntile(buckets: int, position: str = "position", total: str = "row_total") ->
 def with_rank(positioned: DataFrame, value: str, name: str = "risk_rank") -> DataFrame:
     """RANK over ``value``, for a table positioned with ``value`` as first sort key.
 
-    Equal values share the rank of the first of them. They are looked up per
+    Nulls are equal to each other. Equal values share the rank of the first of them. They are looked up per
     (value, range), so a value that fills many ranges is met by many small groups.
     """
     runs = positioned.groupBy("range_no", value).agg(F.min("position").alias("_first"))
     runs = runs.select(
         "range_no", value, (F.min("_first").over(Window.partitionBy(value)) + F.lit(1)).cast("bigint").alias(name)
     )
-    return positioned.join(runs, ["range_no", value])
+    runs = runs.withColumnsRenamed({"range_no": "_range", value: "_value"})
+    same = (F.col("range_no") == F.col("_range")) & F.col(value).eqNullSafe(F.col("_value"))
+    return positioned.join(runs, same).drop("_range", "_value")
 
 
 def exact_quantiles(positioned: DataFrame, value: str, quantiles: Sequence[float], descending: bool) -> DataFrame:
     """One row with the interpolated quantiles ``p40``, ``p70``, … of a positioned table.
 
-    Only the two neighbours of each quantile are read: a handful of rows.
+    Nulls don't count. They stand at one end of the order: first if ascending, last
+    if descending, as Spark sorts by default. Only the two neighbours of each
+    quantile are read: a handful of rows.
     """
-    last = F.col("row_total") - F.lit(1)
-    ascending = (last - F.col("position")) if descending else F.col("position")
+    nulls = positioned.agg(F.count_if(F.col(value).isNull()).alias("_nulls"))
+    positioned = positioned.crossJoin(F.broadcast(nulls)).where(F.col(value).isNotNull())  # one row
+    last = F.col("row_total") - F.col("_nulls") - F.lit(1)
+    ascending = (last - F.col("position")) if descending else F.col("position") - F.col("_nulls")
     picks, results = [], []
     wanted = F.lit(False)
     for q in quantiles:

@@ -111,8 +111,11 @@ def top_corridors_by_score(corridors: DataFrame, n: int = 35) -> DataFrame:
     return corridors.orderBy(F.desc("composite_risk_score"), "station_a_id", "station_b_id").limit(n)
 
 
-def accident_sample(accidents: DataFrame, rows: int = C.ACCIDENT_SAMPLE_ROWS) -> DataFrame:
-    """At most ``rows`` accident points for a map, evenly drawn and the same on every run."""
+def accident_sample(accidents: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` accident points for a map, evenly drawn and the same on every run.
+
+    :func:`density_layer` shows all of them, summed per cell.
+    """
     points = accidents.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull())
     return smallest_by_hash(points.select(*SAMPLE_COLUMNS), "accident_index", rows)
 

@@ -35,7 +35,10 @@ from velorisk.session import materialise
 DISC_SPLITS = 6
 CAPSULE_SPLITS = 1
 BOX_CELL_M = 150.0
-# Distinct locations in a cell beyond which its children are used on an edge.
+_POINTS = "_points"
+# Distinct locations in a cell beyond which its children are used on an edge. It
+# affects speed only: the division is part of every plan, and without such cells
+# its side is empty. Cells divide FINER_GRIDS times; below, points are compared.
 CROWDED = 2000
 
 
@@ -110,8 +113,17 @@ def radius_join(
     )
     if how == "inner":
         return pairs
-    # Only keys go into the second join, so one busy site cannot flood a task.
-    lonely = sites.join(pairs.select(site_key).distinct(), site_key, "left_anti")
+    return _with_lonely(sites, pairs, [site_key])
+
+
+def _with_lonely(shapes: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The pairs, and every shape without any.
+
+    The pairs are stored, so that the distance join runs once; only keys go into
+    the second join, and a busy shape's collapse to one on the map side.
+    """
+    pairs = materialise(pairs, "pairs")
+    lonely = shapes.join(pairs.select(*keys).distinct(), list(keys), "left_anti")
     return pairs.unionByName(lonely, allowMissingColumns=True)
 
 
@@ -151,9 +163,7 @@ def buffer_join(
     )
     if how == "inner":
         return pairs
-    keys = list(segment_keys)
-    lonely = segments.join(pairs.select(*keys).distinct(), keys, "left_anti")
-    return pairs.unionByName(lonely, allowMissingColumns=True)
+    return _with_lonely(segments, pairs, list(segment_keys))
 
 
 # ---------------------------------------------------------------- totals
@@ -195,10 +205,11 @@ def _covered_totals(
     """
     cell = ["cell_x", "cell_y"]
     per_cell = located.groupBy(*cell).agg(*_sums(names), F.count(F.lit(1)).alias("_locations"))
+    per_cell = materialise(per_cell, "cells")
     heavy = per_cell.where(F.col("_locations") > F.lit(crowded)).select(*cell)
     if divisible is not None:
         heavy = heavy.where(divisible)
-    divide = grid.shift > 0 and not heavy.isEmpty()
+    divide = grid.shift > 0
 
     singles = located.join(heavy, cell, "left_anti") if divide else located
     totals = per_cell.drop("_locations").withColumn("whole", F.lit(True))
@@ -309,7 +320,8 @@ def box_totals(
     def row_of(lat: Column) -> Column:
         return clamp(grid.row_of(lat), last_y)
 
-    located = _stored_locations(points, measures).withColumns(
+    names.append(_POINTS)
+    located = _stored_locations(points, measures | {_POINTS: F.lit(1).cast("bigint")}).withColumns(
         {"cell_x": column_of(F.col("point_lon")), "cell_y": row_of(F.col("point_lat"))}
     )
     west, east, south, north = padded_box(pad_deg)
@@ -382,5 +394,6 @@ def box_totals(
         # The outermost cells also hold what lies beyond them, so they have no children.
         (x > 0) & (x < last_x) & (y > 0) & (y < last_y),
     )
-    # A box without points has no row; an all-zero one would only come from the lookups.
-    return edge.unionByName(inside).groupBy(*keys).agg(*_sums(names))
+    # The lookups give a row to every box; one without points has none in the result.
+    totals = edge.unionByName(inside).groupBy(*keys).agg(*_sums(names))
+    return totals.where(F.col(_POINTS) > 0).drop(_POINTS)

@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +32,8 @@ def shared_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, visible to every executor.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
-    executors share the driver's disk, may fall back to a temporary folder.
+    executors share the driver's disk, may fall back to a temporary folder, which
+    goes when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -41,6 +44,7 @@ def shared_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="velorisk-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 

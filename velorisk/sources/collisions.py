@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +29,8 @@ def read_first_available(spark: SparkSession, paths: Sequence[str]) -> DataFrame
     for path in paths:
         try:
             rows = spark.read.option("header", True).option("escape", '"').csv(path)
-        except AnalysisException:
+            rows.head(1)  # a file that opens may still fail to parse
+        except PySparkException:
             continue
         if rows.columns:
             return rename_collision_columns(normalise_headers(rows))
@@ -47,7 +48,7 @@ def parse_dates(df: DataFrame) -> DataFrame:
 
 def filter_years(
     df: DataFrame,
-    years: Sequence[int | str],
+    years: Sequence[int | str] | None,
     candidates: Sequence[str] = ("year", "collision_year", "accident_year"),
 ) -> DataFrame:
     """Rows of the given years, by the first year column present. No years, or no such column: all rows."""
@@ -58,11 +59,13 @@ def filter_years(
     return df.where(to_long(F.col(column)).isin(wanted))
 
 
-def filter_related_years(df: DataFrame, years: Sequence[int | str]) -> DataFrame:
+def filter_related_years(df: DataFrame, years: Sequence[int | str] | None) -> DataFrame:
     """Year filter of casualties and vehicles, which carry neither a date nor coordinates.
 
-    Unlike for collisions, an empty list of years leaves no row.
+    None takes all years. Unlike for collisions, an empty list of years leaves no row.
     """
+    if years is None:
+        return df
     column = next((c for c in ("collision_year", "accident_year") if c in df.columns), None)
     if column is None:
         return df
@@ -82,16 +85,16 @@ def with_hour(df: DataFrame) -> DataFrame:
     return df.withColumn("hour_of_day", hour_of_clock(F.col("time"))) if "time" in df.columns else df
 
 
-def clean_collisions(df: DataFrame, years: Sequence[int | str] = ()) -> DataFrame:
+def clean_collisions(df: DataFrame, years: Sequence[int | str] | None = None) -> DataFrame:
     return with_hour(filter_area(filter_years(parse_dates(df), years)))
 
 
-def read_collisions(spark: SparkSession, paths: Sequence[str], years: Sequence[int | str] = ()) -> DataFrame | None:
+def read_collisions(spark: SparkSession, paths: Sequence[str], years: Sequence[int | str] | None = None) -> DataFrame | None:
     rows = read_first_available(spark, paths)
     return None if rows is None else clean_collisions(rows, years)
 
 
-def read_related(spark: SparkSession, paths: Sequence[str], years: Sequence[int | str] = ()) -> DataFrame | None:
+def read_related(spark: SparkSession, paths: Sequence[str], years: Sequence[int | str] | None = None) -> DataFrame | None:
     """Casualties or vehicles."""
     rows = read_first_available(spark, paths)
     return None if rows is None else filter_related_years(rows, years)

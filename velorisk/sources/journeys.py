@@ -1,8 +1,9 @@
 """Journey files of three header vintages, read into one schema."""
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,33 +68,70 @@ def to_journey_schema(df: DataFrame) -> DataFrame:
     )
 
 
-def read_journeys(spark: SparkSession, paths: Sequence[str], day_first_times: bool = False) -> DataFrame:
-    """Read journey CSVs. Files are grouped by header line, since Spark applies one header per read."""
+#: Files whose first lines one job reads.
+_HEADERS_AT_ONCE = 64
 
-    def header_of(path: str) -> str:
-        first = spark.read.text(path).head(1)
-        return first[0][0] if first else ""
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(header_of, paths))
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> tuple[dict[str, str], list[str]]:
+    """First line of each readable file, and the files that can't be read.
+
+    One job for many files; only where it fails are they tried one by one.
+    """
+
+    def first_lines(some: Sequence[str]) -> dict[str, str]:
+        parts = [spark.read.text(p).limit(1).select(F.lit(p).alias("path"), "value") for p in some]
+        return {row.path: row.value for row in reduce(DataFrame.unionAll, parts).collect()}
+
+    found: dict[str, str] = {}
+    unreadable = []
+    for at in range(0, len(paths), _HEADERS_AT_ONCE):
+        some = paths[at : at + _HEADERS_AT_ONCE]
+        try:
+            found |= first_lines(some)
+        except PySparkException:
+            for path in some:
+                try:
+                    found |= first_lines([path])
+                except PySparkException:
+                    unreadable.append(path)
+    return found, unreadable
+
+
+def read_journeys(
+    spark: SparkSession, paths: Sequence[str], day_first_times: bool = False, skipped: list[str] | None = None
+) -> DataFrame:
+    """Read journey CSVs. Files are grouped by header line, since Spark applies one header per read.
+
+    A file that can't be read, is empty or lacks a required column is passed over, and named in ``skipped``.
+    """
+    headers, passed_over = header_lines(spark, paths)
     groups: dict[str, list[str]] = {}
-    for path, header in zip(paths, headers):
-        groups.setdefault(header, []).append(path)
+    for path in paths:
+        if headers.get(path):
+            groups.setdefault(headers[path], []).append(path)
+        elif path not in passed_over:
+            passed_over.append(path)
 
     combined = spark.createDataFrame([], schemas.JOURNEYS)
-    for header, members in groups.items():
-        if not header:
-            continue
+    for members in groups.values():
         rows = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(members)
         conformed = conform(rows.withColumn("source_file", F.col("_metadata.file_name")), day_first_times)
-        if conformed is not None:
+        if conformed is None:
+            passed_over += members
+        else:
             combined = combined.unionByName(conformed)
+    if skipped is not None:
+        skipped += passed_over
     return combined
 
 
 def read_newest_journeys(
-    spark: SparkSession, folder: str, n_files: int, day_first_times: bool = False
+    spark: SparkSession,
+    folder: str,
+    n_files: int | None = None,
+    day_first_times: bool = False,
+    skipped: list[str] | None = None,
 ) -> DataFrame:
-    """The N newest files of a folder; the path list that reaches the driver has N entries."""
+    """The N newest files of a folder, or all; the path list that reaches the driver has an entry per file."""
     chosen = newest_files(journey_files(list_files(spark, folder)), n_files)
-    return read_journeys(spark, [row.path for row in chosen.collect()], day_first_times)
+    return read_journeys(spark, [row.path for row in chosen.collect()], day_first_times, skipped)

@@ -3,8 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.constants import DEFAULT_N_FILES
-
 JOURNEY_FILE = r"(?i)JourneyDataExtract.*\.csv$"
 
 
@@ -26,6 +24,7 @@ def with_file_number(files: DataFrame) -> DataFrame:
     return files.withColumn("file_number", F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint")))
 
 
-def newest_files(files: DataFrame, n: int = DEFAULT_N_FILES) -> DataFrame:
-    """The N files with the highest number: 500 is newer than 99."""
-    return with_file_number(files).orderBy(F.desc("file_number"), "path").limit(n)
+def newest_files(files: DataFrame, n: int | None = None) -> DataFrame:
+    """The N files with the highest number, or all: 500 is newer than 99."""
+    ordered = with_file_number(files).orderBy(F.desc("file_number"), "path")
+    return ordered if n is None else ordered.limit(n)

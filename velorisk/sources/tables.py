@@ -1,5 +1,6 @@
 """Named tables in layers: full replace, views, reads and existence checks."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -7,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 STAGING, INTERMEDIATE, SPATIAL, MARTS, RAW = "staging", "intermediate", "spatial_layer", "marts", "raw"
+SEEDS = "seeds"
 
 
 class TableStore:
@@ -21,18 +23,49 @@ class TableStore:
         return f"{self.root}/{layer}/{name}"
 
     def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Overwrite a table and return its row count, observed during the write itself."""
+        """Replace a table and return its row count, observed during the write itself.
+
+        Below a root the new table is written beside the old one and takes its
+        place when it is complete, so a job that dies leaves the old one.
+        """
         counted = Observation()
-        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if self.root:
-            writer.parquet(self._path(layer, name))
+            fresh = f"{self.root}/{layer}/.{name}-{uuid.uuid4().hex}"
+            try:
+                writer.parquet(fresh)
+            except Exception:
+                self._delete(fresh)
+                raise
+            self._swap(fresh, self._path(layer, name))
         else:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            writer.format("parquet").saveAsTable(f"{layer}.{name}")
+            writer.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
         return counted.get["rows"]
 
+    def _hadoop(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _delete(self, path: str) -> None:
+        place, system = self._hadoop(path)
+        system.delete(place, True)
+
+    def _swap(self, fresh: str, path: str) -> None:
+        new, system = self._hadoop(fresh)
+        place, old = self._hadoop(path)[0], self._hadoop(f"{fresh}-old")[0]
+        replaced = system.exists(place)
+        if replaced and not system.rename(place, old):
+            raise OSError(f"cannot put {path} aside")
+        if not system.rename(new, place):
+            raise OSError(f"cannot put the new table at {path}")
+        if replaced:
+            system.delete(old, True)
+        # Spark may hold the old listing.
+        self.spark.catalog.refreshByPath(path)
+
     def view(self, layer: str, name: str, df: DataFrame) -> None:
         """Register a lazy view: its filters and projections merge into whatever reads it."""
         self._views[(layer, name)] = df

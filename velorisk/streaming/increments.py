@@ -4,33 +4,35 @@ Each micro-batch drops journeys that were counted before and stores the counts o
 the rest as a delta of its own; readers sum the deltas. Replaying a batch after a
 failure overwrites the same folders with the same rows, so nothing counts twice.
 
-Duplicates are matched against the accepted journeys of the same start month, and
-not in watermarked state: a file that arrives years late is still counted, and
-journeys whose start time is unreadable are compared among themselves. A batch
-reads only the months it contains.
+A journey counts once per rental id, in whichever batch it was accepted first, and
+not in watermarked state: a file that arrives years late is still counted. Accepted
+ids lie in folders by a hash of the id, so that an id meets its earlier copies
+whatever month they name, and the join reads each folder once per batch.
 """
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from velorisk import constants as C
 from velorisk import schemas
-from velorisk.functions.casts import month_key
 from velorisk.operators.blackspot import station_volumes
 from velorisk.operators.corridor import corridor_journeys
 from velorisk.operators.staging import stage_journeys
 
-_MAX_PRUNED_MONTHS = 1000
+#: Folders of accepted ids. Fixed for the life of a root.
+BUCKETS = 64
+#: Larger than any station id plus one, so that a pair of them packs into one number.
+_PACK = 10**19
 
 _ACCEPTED_SCHEMA = T.StructType(
     [
         T.StructField("rental_id", T.LongType()),
         T.StructField("start_station_id", T.LongType()),
         T.StructField("end_station_id", T.LongType()),
-        T.StructField("start_month", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -61,33 +63,48 @@ class TripCounts:
         return f"{self.root}/checkpoint"
 
 
+def one_per_rental(journeys: DataFrame) -> DataFrame:
+    """The row of each rental id with the least start and, of these, the least end station, nulls first.
+
+    Both ids are packed into one number: its minimum is hashed and combined on the
+    map side, where that of a struct would make Spark sort every journey. A null
+    rental id is an id like any other.
+    """
+    pack = F.lit(str(_PACK)).cast("decimal(20,0)")
+    ends = [F.coalesce(F.col(c) + 1, F.lit(0)).cast("decimal(19,0)") for c in ("start_station_id", "end_station_id")]
+    packed = (ends[0] * pack + ends[1]).cast("decimal(38,0)")
+    least = journeys.groupBy("rental_id").agg(F.min(packed).alias("ends"))
+
+    def unpacked(value: Column, name: str) -> Column:
+        number = value.cast("bigint")
+        return F.when(number > 0, number - 1).alias(name)
+
+    start = F.floor(F.col("ends") / pack).cast("decimal(38,0)")
+    start = F.when(start * pack > F.col("ends"), start - 1).otherwise(start).cast("decimal(19,0)")
+    return least.withColumn("first", start).select(
+        "rental_id",
+        unpacked(F.col("first"), "start_station_id"),
+        unpacked(F.col("ends") - F.col("first") * pack, "end_station_id"),
+    )
+
+
 def _apply_batch(target: TripCounts, batch: DataFrame, batch_id: int) -> None:
     spark = batch.sparkSession
-    journeys = stage_journeys(batch).select(
-        "rental_id", "start_station_id", "end_station_id", month_key(F.col("start_at")).alias("start_month")
-    )
-    # The least row per key keeps reruns equal even if copies differ.
-    fresh = (
-        journeys.groupBy("rental_id", "start_month")
-        .agg(F.min(F.struct("start_station_id", "end_station_id")).alias("ends"))
-        .select("rental_id", "ends.*", "start_month")
+    fresh = one_per_rental(stage_journeys(batch)).withColumn(
+        "bucket", F.pmod(F.xxhash64("rental_id"), F.lit(BUCKETS)).cast("int")
     )
     if batch_id > 0:
         seen = spark.read.schema(_ACCEPTED_SCHEMA).parquet(target.accepted).where(F.col("batch_id") < batch_id)
-        months = [row.start_month for row in journeys.select("start_month").distinct().limit(_MAX_PRUNED_MONTHS + 1).collect()]
-        if len(months) <= _MAX_PRUNED_MONTHS:
-            known = F.col("start_month").isin([m for m in months if m is not None])
-            seen = seen.where(known | F.col("start_month").isNull() if None in months else known)
-        seen = seen.select(F.col("rental_id").alias("_id"), F.col("start_month").alias("_month"))
-        same = (F.col("rental_id") == F.col("_id")) & F.col("start_month").eqNullSafe(F.col("_month"))
+        seen = seen.select(F.col("rental_id").alias("_id"), F.col("bucket").alias("_bucket"))
+        same = (F.col("bucket") == F.col("_bucket")) & F.col("rental_id").eqNullSafe(F.col("_id"))
         fresh = fresh.join(seen, same, "left_anti")
-    # Rebalancing keeps files per month few, and splits a month that holds most of the rows.
+    # Rebalancing keeps files per folder few.
     (
         fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .hint("rebalance", "start_month")
+        .hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("start_month", "batch_id")
+        .partitionBy("bucket", "batch_id")
         .parquet(target.accepted)
     )
     stored = spark.read.schema(_ACCEPTED_SCHEMA).parquet(target.accepted).where(F.col("batch_id") == batch_id)
