@@ -14,11 +14,12 @@ def components(links: DataFrame) -> DataFrame:
     written table, and a node with very many links is dealt to several tasks. The
     driver sees two numbers a round.
     """
-    stars, seen = materialise(_pairs(links, "a", "b"), "links"), None
+    stars = materialise(_pairs(links, "a", "b"), "links")
+    seen = _state(stars)
     while True:
         large = _starred(stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))), large=True)
         stars = materialise(_starred(large, large=False), "links")
-        state = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = _state(stars)
         if state == seen:
             break
         seen = state
@@ -28,6 +29,10 @@ def components(links: DataFrame) -> DataFrame:
     ).agg(F.min("root").alias("root"))
 
 
+def _state(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def _pairs(links: DataFrame, a: str, b: str) -> DataFrame:
     """Links from the larger to the smaller node, each once."""
     return links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()

@@ -35,17 +35,18 @@ class Search:
 
     ``trees`` independent trees; a node of at most ``leaf`` documents is compared
     exhaustively. Tokens are estimates, so documents are first linked loosely, at
-    an estimate of ``loose``: true partners of 0.85 lie six deviations above it.
-    A document this ``close`` to the pivot of a large node leaves the node, since
-    its partners are loosely linked to the pivot too.
+    an estimate of ``loose``: true partners of 0.85 lie ten deviations above it.
+    A document this ``close`` to the pivot of a large node leaves the node: its
+    true partners are at most 0.15 farther from the pivot, two deviations or more
+    within the loose link to it, and every tree has other pivots.
     """
 
     percent: int = 85
     words: int = 5
     trees: int = 12
     leaf: int = 256
-    loose: float = 0.5
-    close: float = 0.88
+    loose: float = 0.4
+    close: float = 0.7
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +154,11 @@ class Forest:
         return a != b
 
 
+    def stars(self) -> list[tuple[int, int]]:
+        """Every node but the roots with its root."""
+        return [(x, self.root(x)) for x in list(self.above) if self.root(x) != x]
+
+
 def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
@@ -179,8 +185,8 @@ def loose_links(sets: DataFrame, how: Search) -> DataFrame:
     drops out before its tokens travel. In a node that is too large, every member
     is compared with the node's pivot and, unless close to it, moves on to the
     node's children. All members of a small node are compared with each other; a
-    task reports a spanning forest of the links it sees, so a crowd of copies
-    costs as many links as it has members.
+    task reports a star for every class it sees, so a crowd of copies costs as many
+    links as it has members, and classes of several tasks meet in few rounds.
     """
     share = how.percent / 100
     first = F.explode(
@@ -228,24 +234,22 @@ def _compared(leaves: DataFrame, how: Search) -> DataFrame:
         forest = Forest()
         for table in whole_groups(batches, ["path"]):
             path, node, tokens = table.column("path").to_numpy(), table.column("node").to_numpy(), _token_matrix(table)
-            found, step = [], 1
+            step = 1
             near = np.flatnonzero(path[1:] == path[:-1])
             while len(near):
                 alike = near[(tokens[near] == tokens[near + step]).sum(axis=1) >= enough]
                 for a, b in zip(node[alike].tolist(), node[alike + step].tolist(), strict=True):
-                    if forest.joins(a, b):
-                        found.append((a, b))
+                    forest.joins(a, b)
                 step += 1
                 near = near[near + step < len(path)]
                 near = near[path[near] == path[near + step]]
-            if found:
-                yield _links(found)
+        yield _links(forest.stars())
 
     return leaves.repartition("path").sortWithinPartitions("path").mapInArrow(work, "a long, b long")
 
 
 def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str = "text") -> DataFrame:
-    """True links within blocks (node, root), as spanning forests.
+    """What true links within blocks (node, root) connect, as stars.
 
     A block's members meet with their whole sets, in groups of at most ``leaf``
     against as many: one group for a small block, every pair of groups for a
@@ -257,26 +261,27 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
         "groups", F.ceil(F.col("members") / how.leaf).cast("int")
     )
 
+    members_of = membership(blocks)
+    sent = docs.sparkSession.sparkContext.broadcast(members_of)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
+            places = batch.column("places").flatten().to_numpy().reshape(-1, 4)
+            batch = batch.filter(pa.array(((sent.value[places >> 6] >> (places & 63)) & 1 == 1).all(axis=1)))
             hashes, rows = shingles(*utf8(batch.column("text")), how.words)
-            cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-            tokens = minwise(hashes, cuts[:-1])
-            packed = pa.array([hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * TOKENS), pa.array(tokens.ravel())
-            )
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), packed, lists], [*kept, "shingles", "tokens"])
-
-    kept = ["node", "root", "groups", "pivot"]
-    texts = members.withColumn("pivot", F.xxhash64("root", "node") == F.col("least")).join(
-        docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).alias("text")), "node"
-    )
+            full = np.flatnonzero(np.bincount(rows, minlength=batch.num_rows))
+            begins = np.searchsorted(rows, full)
+            tokens = minwise(hashes, begins)
+            ends = np.append(begins, len(rows))[1:]
+            packed = pa.array([hashes[a:b].tobytes() for a, b in zip(begins, ends, strict=True)], pa.binary())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * TOKENS), pa.array(tokens.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(full)), packed, lists], ["node", "shingles", "tokens"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).alias("text"))
+    read_sets = texts.withColumn("places", _places(len(members_of) << 6)).mapInArrow(read, "node long, shingles binary, tokens array<int>")
+    members = members.withColumn("pivot", F.xxhash64("root", "node") == F.col("least"))
     sets = materialise(
-        texts.select(*kept, "text").mapInArrow(
-            read, "node long, root long, groups int, pivot boolean, shingles binary, tokens array<int>"
-        ),
-        "block-sets",
+        members.select("node", "root", "groups", "pivot").join(read_sets, "node"), "block-sets"
     )
     small = sets.where("groups = 1").select(
         "root", F.lit(0).alias("i"), F.lit(0).alias("j"), "node", "shingles", "tokens", F.lit(2).alias("side"), F.lit(False).alias("settled")
@@ -306,6 +311,26 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
     return links.unionByName(stars)
 
 
+#: Most bits of a filter for ids; it bounds what is broadcast.
+MOST_BITS = 1 << 28
+
+
+def membership(nodes: DataFrame) -> np.ndarray:
+    """A Bloom filter (words of 64 bits) of the column node: about 16 bits an id, up to ``MOST_BITS``. With more ids than
+    that it lets more others through, but loses none."""
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(10, (16 * nodes.count()).bit_length()))
+    at = nodes.select(F.explode(_places(bits)).alias("at"))
+    at = at.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 AS int))").alias("bit"))
+    words = at.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(bits >> 6, np.int64)
+    out[words.word.to_numpy()] = words.bits.to_numpy()
+    return out
+
+
+def _places(bits: int) -> Column:
+    return F.array(*(F.pmod(F.xxhash64("node", F.lit(k)), F.lit(bits)) for k in range(4)))
+
+
 def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether 100 * intersection reaches ``percent`` * union."""
     if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
@@ -347,6 +372,7 @@ def _confirming(percent: int):
                     rows, partners = mine, mine
                 else:
                     rows, partners = mine[side[mine] == 0], mine[side[mine] == 1]
+                fresh = set(node[rows].tolist())
                 pairs = []
                 for r in rows:
                     others = partners[partners > r] if side[begin] == 2 else partners
@@ -361,7 +387,7 @@ def _confirming(percent: int):
                         np.frombuffer(sets[r], np.uint64), np.frombuffer(sets[o], np.uint64), percent
                     ):
                         forest.joins(a, b)
-                        found.append((a, b))
+                found += [(x, r) for x, r in forest.stars() if side[begin] == 2 or x in fresh or r in fresh]
             if found:
                 yield _links(found)
 
@@ -397,6 +423,5 @@ def near_duplicates(docs: DataFrame, how: Search = Search(), text: str = "text")
     named = salted_join(prints.drop("tokens"), copied, ["sum1", "sum2", "n_shingles"], F.col("doc_id"), how="left")
     named = named.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("node", "doc_id")).alias("node"))
     rooted = salted_join(named, roots, ["node"], F.col("doc_id"), how="left")
-    return rooted.select(
-        "doc_id", "n_shingles", F.coalesce("root", "node", "doc_id").alias("component_id")
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id"))
+    return rooted.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
