@@ -8,10 +8,13 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from velorisk import derived  # noqa: E402
-from velorisk.operators import blackspot, corridor, spatial, staging, temporal  # noqa: E402
-from velorisk.plans import marts  # noqa: E402
-from velorisk.session import build_session, materialise  # noqa: E402
+from velorisk.operators import blackspot, corridor, positions, spatial, staging, temporal  # noqa: E402
+from velorisk.plans import build, marts  # noqa: E402
+from velorisk.session import build_session, materialise, scratch_path  # noqa: E402
+from velorisk.sources.tables import TableStore  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -42,13 +45,26 @@ def main() -> None:
         pairs = corridor.corridor_journeys(journeys, derived.MIN_JOURNEYS)
         return materialise(corridor.locate_corridors(pairs, stations), "corridors")
 
+    def whole_run():
+        store = TableStore(spark, scratch_path(spark, "bench"))
+        for name, df in (("tfl_stations", scattered.stations), ("uk_accidents", scattered.accidents), ("tfl_journeys", scattered.journeys)):
+            store.replace("raw", name, df)
+        config = build.BuildConfig(root=store.root, min_journeys=derived.MIN_JOURNEYS, on_failed_test="continue")
+        return build.run(spark, config)
+
     stations, accidents, journeys = staged(scattered)
+    scattered_corridors, lattice_corridors = located(scattered), located(lattice)
     queries = {
         "radius_500m_pairs": lambda: spatial.radius_join(stations, accidents, how="inner"),
+        "radius_500m_pairs_left": lambda: spatial.radius_join(stations, accidents),
+        "journey_positions": lambda: positions.with_positions(
+            journeys.select("rental_id", "duration_seconds"), F.asc("duration_seconds"), F.asc("rental_id")
+        ),
+        "whole_run": whole_run,
         "radius_500m_scores": lambda: blackspot.station_scores(stations, accidents),
-        "corridor_box_totals": lambda: corridor.corridor_accidents(located(scattered), accidents, "box"),
-        "corridor_buffer_totals": lambda: corridor.corridor_accidents(located(scattered), accidents, "buffer"),
-        "corridor_buffer_totals_lattice": lambda: corridor.corridor_accidents(located(lattice), accidents, "buffer"),
+        "corridor_box_totals": lambda: corridor.corridor_accidents(scattered_corridors, accidents, "box"),
+        "corridor_buffer_totals": lambda: corridor.corridor_accidents(scattered_corridors, accidents, "buffer"),
+        "corridor_buffer_totals_lattice": lambda: corridor.corridor_accidents(lattice_corridors, accidents, "buffer"),
         "corridor_journeys": lambda: corridor.corridor_journeys(journeys, derived.MIN_JOURNEYS),
         "station_volumes": lambda: blackspot.station_volumes(journeys),
         "stage_journeys": lambda: journeys,

@@ -196,6 +196,7 @@ def _covered_totals(
     classify: Callable[[DataFrame, Grid], DataFrame],
     crowded: int,
     divisible: Column | None = None,
+    inner: bool = False,
 ) -> DataFrame:
     """Sum ``names`` over the located points of each cover: whole cells by their total, others by test.
 
@@ -205,7 +206,9 @@ def _covered_totals(
     """
     cell = ["cell_x", "cell_y"]
     per_cell = located.groupBy(*cell).agg(*_sums(names), F.count(F.lit(1)).alias("_locations"))
-    per_cell = materialise(per_cell, "cells")
+    if not inner:
+        # Read by the totals and twice to find crowded cells; finer grids hold few points.
+        per_cell = materialise(per_cell, "cells")
     heavy = per_cell.where(F.col("_locations") > F.lit(crowded)).select(*cell)
     if divisible is not None:
         heavy = heavy.where(divisible)
@@ -234,6 +237,7 @@ def _covered_totals(
         is_hit,
         classify,
         crowded,
+        inner=True,
     )
     return sums.unionByName(inside).groupBy(*keys).agg(*_sums(names))
 
