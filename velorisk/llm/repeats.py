@@ -8,17 +8,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velorisk.llm.common import RollingHash, materialise, pieces, salted_join, salted_semi, utf8
+from velorisk.llm.common import RollingHash, map_batches, materialise, pieces, salted_join, salted_semi, utf8
 from velorisk.llm.neardup import whole_groups
 
 #: Bytes of an anchor: the substring whose repetition makes a string worth comparing.
 ANCHOR = 64
 #: Most contexts that one task orders together; a larger group is dealt out, and settled in a second count.
-TOGETHER = 2000
+TOGETHER = 20_000
 #: Contexts that are ordered in one go within a task.
-SLAB = 16_000
+SLAB = 20_000
 #: Symbol outside of a document.
 OUTSIDE = 256
+#: Neighbouring strings of a dealt-out group that go as one row.
+NEIGHBOURS = 43
+_ORDERED = ["v1", "v2", "start", "end", "anchor", "core", "places", "strings", "settled"]
 _PLACE = np.uint64((1 << 31) - 1)
 
 
@@ -70,7 +73,7 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
             out += [pa.array(x.view(np.int64)) for x in (anchor, context)]
             yield pa.RecordBatch.from_arrays(out, ["v1", "v2", "pos", "lo", "hi", "anchor", "context"])
 
-    return docs.mapInArrow(work, "v1 long, v2 long, pos int, lo int, hi int, anchor long, context long")
+    return docs.transform(map_batches, work, "v1 long, v2 long, pos int, lo int, hi int, anchor long, context long")
 
 
 def column_order(symbols: np.ndarray, groups: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,8 +150,18 @@ def _ordered(length: int):
         edge = np.diff(np.pad(mine, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         (row, begin), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
         at = pos[row] - side + begin
-        yield _batch(v1[row], v2[row], at, pos[row] - side + end - 1 + length, anchor[row], None, np.ones(len(row), bool))
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(pa.array(x[row]) for x in (v1, v2)),
+                *(pa.array(x.astype(np.int32)) for x in (at, pos[row] - side + end - 1 + length)),
+                pa.array(anchor[row]),
+                pa.nulls(len(row), pa.int64()),
+                *(pa.nulls(len(row), pa.list_(k)) for k in (pa.int32(), pa.int64(), pa.bool_())),
+            ],
+            _ORDERED,
+        )
         # A group that was dealt out: what is single here, and one of what isn't, is counted against the other parts.
+        # Neighbouring strings go as one row under the bytes they share: only where these occur twice can a string.
         row, begin = np.nonzero(valid & first & many[:, None])
         if len(row):
             rolling = RollingHash(data)
@@ -156,27 +169,30 @@ def _ordered(length: int):
             # The place within the context counts too: in a text with a period one string has several anchors.
             with np.errstate(over="ignore"):
                 hashes = rolling.of(at, at + length) * np.uint64(31) + begin.astype(np.uint64)
-            at = pos[row] - side + begin
-            yield _batch(v1[row], v2[row], at, at + length, anchor[row], hashes, again[row, begin] | ~single[row])
+                part = begin // NEIGHBOURS
+                heads = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (part[1:] != part[:-1]))))
+                mine, low = row[heads], part[heads] * NEIGHBOURS
+                high = np.minimum(low + NEIGHBOURS, width - length + 1) - 1
+                origin = offsets[mine] - left[mine]
+                core = rolling.of(origin + high, origin + low + length) * np.uint64(31) + low.astype(np.uint64)
+            cuts = pa.array(np.append(heads, len(row)).astype(np.int32))
+            lists = (pos[row] - side + begin).astype(np.int32), hashes.view(np.int64), again[row, begin] | ~single[row]
+            blank = pa.nulls(len(mine), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(x[mine]) for x in (v1, v2)),
+                    blank,
+                    blank,
+                    pa.array(anchor[mine]),
+                    pa.array(core.view(np.int64)),
+                    *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in lists),
+                ],
+                _ORDERED,
+            )
 
     return work
 
 
-def _batch(v1, v2, start, end, anchor, hashes, settled) -> pa.RecordBatch:
-    hashed = pa.nulls(len(v1), pa.int64()) if hashes is None else pa.array(hashes.view(np.int64))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(v1),
-            pa.array(v2),
-            *(pa.array(np.asarray(x).astype(np.int32)) for x in (start, end)),
-            pa.array(anchor),
-            hashed,
-            pa.array(settled, pa.bool_()),
-        ],
-        ["v1", "v2", "start", "end", "anchor", "string", "settled"],
-    )
-
-
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each wanted context with its bytes."""
     names = ["v1", "v2", "anchor", "part", "many", "single", "pos", "lo"]
@@ -227,23 +243,30 @@ def repeated_spans(keyed: DataFrame, length: int) -> DataFrame:
     )
     wanted = wanted.groupBy("v1", "v2").agg(F.collect_list("one").alias("wanted"))
     once = keyed.select("v1", "v2", "text").join(wanted, ["v1", "v2"]).select("v1", "v2", "text", "wanted")
-    cut = once.mapInArrow(
+    cut = once.transform(
+        map_batches,
         _cut_contexts,
         "v1 long, v2 long, anchor long, part int, many boolean, single boolean, pos int, lo int, bytes binary",
     )
     ordered = materialise(
         cut.repartition("anchor", "part")
         .sortWithinPartitions("anchor", "part")
-        .mapInArrow(
-            _ordered(length), "v1 long, v2 long, start int, end int, anchor long, string long, settled boolean"
+        .transform(
+            map_batches,
+            _ordered(length), "v1 long, v2 long, start int, end int, anchor long, core long, places array<int>, strings array<long>,"
+            " settled array<boolean>"
         ),
         "ordered",
     )
-    open_ = ordered.where("string IS NOT NULL")
+    open_ = ordered.where("core IS NOT NULL")
+    cores = open_.groupBy("anchor", "core").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    open_ = salted_semi(open_, cores, ["anchor", "core"], F.col("v1"))
+    open_ = open_.select("v1", "v2", "anchor", F.inline(F.arrays_zip("places", "strings", "settled")))
+    open_ = open_.withColumnsRenamed({"places": "start", "strings": "string"}).withColumn("end", F.col("start") + length)
     twice = open_.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     across = salted_semi(open_.where("NOT settled"), twice, ["anchor", "string"], F.col("v1"))
     columns = ["v1", "v2", "start", "end"]
-    return spans.unionByName(ordered.where("string IS NULL").select(columns)).unionByName(across.select(columns))
+    return spans.unionByName(ordered.where("core IS NULL").select(columns)).unionByName(across.select(columns))
 
 
 def drop_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,7 +317,8 @@ def drop_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
     return (
         base.join(listed, ["v1", "v2"], "left")
         .select("doc_id", "text", "spans")
-        .mapInArrow(
+        .transform(
+            map_batches,
             work,
             f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary,"
             " spans array<array<long>>",
