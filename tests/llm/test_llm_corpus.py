@@ -69,14 +69,14 @@ def test_classes_equal_brute_force(docs_of, leaf):
     rng = np.random.default_rng(2)
     texts = near_copies(rng) + ["One two", "one TWO", "", None, " ", "a b c d e", "a b c d e f"]
     rows = list(enumerate(texts))
-    got = neardup.near_duplicates(docs_of(texts), neardup.Search(leaf=leaf)).collect()
+    got = neardup.near_duplicates(docs_of(texts), neardup.Search(leaf=leaf, group=leaf)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == plain_classes(rows)
 
 
 def test_crowd_of_copies_is_one_class(docs_of):
     rng = np.random.default_rng(4)
     texts = near_copies(rng, groups=1, copies=150, words=400) + ["same text of a few words here"] * 120
-    got = neardup.near_duplicates(docs_of(texts), neardup.Search(leaf=16)).collect()
+    got = neardup.near_duplicates(docs_of(texts), neardup.Search(leaf=16, group=16)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == plain_classes(list(enumerate(texts)))
 
 

@@ -44,6 +44,16 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: Column
     ).drop("_salt")
 
 
+#: Rows in a batch on the way to Python and back. A batch is held several times over, and texts can be long.
+BATCH_ROWS = 1000
+
+
+def map_batches(df: DataFrame, work, schema) -> DataFrame:
+    """``mapInArrow`` with batches of few rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(work, schema)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in runs of about ``most`` text bytes, one row at least."""
     for batch in batches:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velorisk.llm.common import byte_class, pieces, runs, utf8
+from velorisk.llm.common import byte_class, map_batches, pieces, runs, utf8
 
 #: Bytes that end a word once A-Z are lower-cased: all of ASCII but digits and letters.
 _BREAKS = bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80))
@@ -139,7 +139,7 @@ def find_leaks(
                 )
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, arrow_hits)], ["row", "hits"])
 
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(scan, schema)
+    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).transform(map_batches, scan, schema)
 
 
 def automaton(owners: dict[str, list[int]]) -> ahocorasick.Automaton:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velorisk.llm.common import pieces
+from velorisk.llm.common import map_batches, pieces
 
 #: Letters are told apart as a-z and further classes by code point; 0 is the gap between words.
 SYMBOLS = 48
@@ -93,7 +93,7 @@ def learn(labelled: DataFrame, dimensions: int = DIMENSIONS, text: str = "text",
     names = sorted(r.lang for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(names) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages in the labels")
-    sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = rows.transform(map_batches, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(names), GRAMS), np.float32)
     for part in sums.toPandas().groupby("lang"):
         counts[names.index(part[0]), part[1].gram.to_numpy()] = part[1].n.to_numpy()
@@ -146,4 +146,4 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
             )
             yield pa.RecordBatch.from_arrays([batch.column("row"), answer], ["row", "language"])
 
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(predict, schema)
+    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).transform(map_batches, predict, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velorisk.llm.common import WHITE, byte_class, materialise, pieces, runs, utf8
+from velorisk.llm.common import WHITE, byte_class, map_batches, materialise, pieces, runs, utf8
 from velorisk.llm.labels import SAMPLE_ROWS, labelled_sample
 from velorisk.llm.quality import FEATURES, measure
 
@@ -58,7 +58,7 @@ def learn_domains(
             )
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), lists], ["doc_id", "label", "x"])
 
-    sample = labelled_sample(docs, labels, label, most, text).mapInArrow(work, "doc_id long, label int, x array<double>")
+    sample = labelled_sample(docs, labels, label, most, text).transform(map_batches, work, "doc_id long, label int, x array<double>")
     rows = sorted((r.doc_id, r.label, r.x) for r in sample.toLocalIterator() if r.label in classes)
     weights = np.zeros((FEATURES, len(classes)))
     if rows:
@@ -91,7 +91,7 @@ def member(docs: DataFrame, domains: Domains, text: str = "text") -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(tokens), lists], ["row", "tokens", "posterior"])
 
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(work, schema)
+    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).transform(map_batches, work, schema)
 
 
 def fit_rates(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velorisk.llm.common import (
+    map_batches,
     WHITE,
     RollingHash,
     byte_class,
@@ -34,7 +35,7 @@ class Search:
     """How the join looks for partners.
 
     ``trees`` independent trees; a node of at most ``leaf`` documents is compared
-    exhaustively. Tokens are estimates, so documents are first linked loosely, at
+    exhaustively by tokens, and whole sets meet in groups of at most ``group``. Tokens are estimates, so documents are first linked loosely, at
     an estimate of ``loose``: true partners of 0.85 lie ten deviations above it.
     A document this ``close`` to the pivot of a large node leaves the node: its
     true partners are at most 0.15 farther from the pivot, two deviations or more
@@ -44,7 +45,8 @@ class Search:
     percent: int = 85
     words: int = 5
     trees: int = 12
-    leaf: int = 256
+    leaf: int = 1024
+    group: int = 256
     loose: float = 0.4
     close: float = 0.7
 
@@ -105,12 +107,13 @@ def fingerprints(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(work, "doc_id long, n_shingles long, sum1 long, sum2 long, tokens array<int>")
+    return rows.transform(map_batches, work, "doc_id long, n_shingles long, sum1 long, sum2 long, tokens array<int>")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Sorted batches again, cut between groups of equal keys."""
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 8000) -> Iterator[pa.Table]:
+    """Sorted batches again, in tables of ``least`` rows or more that end with a group of equal keys."""
     held: list[pa.RecordBatch] = []
+    rows = 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -121,12 +124,11 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
             if held:
                 changed[0] |= values[0] != held[-1].column(key)[-1].as_py()
         last = int(np.flatnonzero(changed)[-1]) if changed.any() else -1
-        if last >= 0:
-            done = [*held, batch.slice(0, last)] if last else held
-            if done:
-                yield pa.Table.from_batches(done)
-            held = []
-        held.append(batch.slice(max(last, 0)))
+        if last >= 0 and rows + last >= least:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held, rows, batch = [], 0, batch.slice(last)
+        held.append(batch)
+        rows += batch.num_rows
     if held:
         yield pa.Table.from_batches(held)
 
@@ -245,20 +247,20 @@ def _compared(leaves: DataFrame, how: Search) -> DataFrame:
                 near = near[path[near] == path[near + step]]
         yield _links(forest.stars())
 
-    return leaves.repartition("path").sortWithinPartitions("path").mapInArrow(work, "a long, b long")
+    return leaves.repartition("path").sortWithinPartitions("path").transform(map_batches, work, "a long, b long")
 
 
 def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str = "text") -> DataFrame:
     """What true links within blocks (node, root) connect, as stars.
 
-    A block's members meet with their whole sets, in groups of at most ``leaf``
+    A block's members meet with their whole sets, in groups of about ``group``
     against as many: one group for a small block, every pair of groups for a
     larger one, where a member that is linked to the block's pivot needs no
     further check against others that are.
     """
     sizes = blocks.groupBy("root").agg(F.count("*").alias("members"), F.min(F.xxhash64("root", "node")).alias("least"))
     members = salted_join(blocks, sizes, ["root"], F.col("node")).withColumn(
-        "groups", F.ceil(F.col("members") / how.leaf).cast("int")
+        "groups", F.ceil(F.col("members") / how.group).cast("int")
     )
 
     members_of = membership(blocks)
@@ -278,7 +280,7 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
             yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(full)), packed, lists], ["node", "shingles", "tokens"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).alias("text"))
-    read_sets = texts.withColumn("places", _places(len(members_of) << 6)).mapInArrow(read, "node long, shingles binary, tokens array<int>")
+    read_sets = texts.withColumn("places", _places(len(members_of) << 6)).transform(map_batches, read, "node long, shingles binary, tokens array<int>")
     members = members.withColumn("pivot", F.xxhash64("root", "node") == F.col("least"))
     sets = materialise(
         members.select("node", "root", "groups", "pivot").join(read_sets, "node"), "block-sets"
@@ -289,7 +291,8 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
     big = sets.where("groups > 1")
     pivots = big.where("pivot").select("root", F.col("node").alias("pivot_node"), F.col("shingles").alias("pivot_shingles"))
     settled = materialise(
-        salted_join(big, pivots.dropDuplicates(["root"]), ["root"], F.col("node")).mapInArrow(
+        salted_join(big, pivots.dropDuplicates(["root"]), ["root"], F.col("node")).transform(
+            map_batches,
             _settling(how.percent),
             "node long, root long, groups int, shingles binary, tokens array<int>, pivot_node long, settled boolean",
         ),
@@ -304,7 +307,8 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
     right = base.select("root", every.alias("i"), F.col("own").alias("j"), "node", "shingles", "tokens", F.lit(1).alias("side"), "settled")
     right = salted_join(right, busy, ["root", "i"], F.col("node")).select(left.columns)
     tasks = small.unionByName(left).unionByName(right)
-    links = tasks.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(
+    links = tasks.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").transform(
+        map_batches,
         _confirming(how.percent), "a long, b long"
     )
     stars = settled.where("settled AND node <> pivot_node").select(F.col("node").alias("a"), F.col("pivot_node").alias("b"))

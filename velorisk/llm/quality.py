@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velorisk.llm.common import WHITE, RollingHash, byte_class, chained, mixed, pieces, runs, utf8
+from velorisk.llm.common import WHITE, RollingHash, byte_class, chained, map_batches, mixed, pieces, runs, utf8
 from velorisk.llm.labels import SAMPLE_ROWS, labelled_sample
 
 _SPACE = byte_class(WHITE)
@@ -223,7 +223,7 @@ def learn_field(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS // 2
             )
 
     sample = labelled_sample(docs, labels, "quality", most, text).where(F.length("text") > 0)
-    found = sample.mapInArrow(features, "doc_id long, label int, lines binary").toPandas().sort_values(["doc_id", "lines"])
+    found = sample.transform(map_batches, features, "doc_id long, label int, lines binary").toPandas().sort_values(["doc_id", "lines"])
     blocks = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in found.lines]
     blocks = [(b, y) for b, y in zip(blocks, found.label, strict=True) if len(b)]
     if not blocks:
@@ -254,7 +254,7 @@ def judge(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
             measures = pa.StructArray.from_arrays([pa.array(got.counts[n].astype(np.int64)) for n in COUNTS], list(COUNTS))
             yield pa.RecordBatch.from_arrays([batch.column("row"), measures], ["row", "measures"])
 
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(count, schema)
+    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).transform(map_batches, count, schema)
 
 
 def base_failed(n_words, n_repeat_words):

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.llm.common import materialise, mixed, pieces
+from velorisk.llm.common import map_batches, materialise, mixed, pieces
 from velorisk.llm.warc import located
 
 #: A byte-level vocabulary as ranks, read by the driver, and the pattern that cuts words for it (a fixed value).
@@ -131,7 +131,7 @@ def sequences(docs: DataFrame, ranks: dict[bytes, int], layout: Layout, text: st
             raise RuntimeError(f"a partition changed between two passes: {seen} now, {rows} rows and {size_of_texts} bytes before")
 
     schema = "slot long, seq long, n_tokens long, doc_ids array<long>, tokens binary"
-    return rows.mapInArrow(work, schema), size
+    return rows.transform(map_batches, work, schema), size
 
 
 def write_shards(
@@ -187,7 +187,8 @@ def write_shards(
 
     ordered = placed.withColumn("shard", shard).repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
     index = materialise(
-        ordered.mapInArrow(
+        ordered.transform(
+            map_batches,
             write, "shard int, row long, seq long, n_tokens long, doc_ids array<long>, tokens_sha256 string"
         ),
         "sequence-index",

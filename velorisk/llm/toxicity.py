@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velorisk.llm.common import RollingHash, byte_class, materialise, mixed, pieces, runs, utf8
+from velorisk.llm.common import RollingHash, byte_class, map_batches, materialise, mixed, pieces, runs, utf8
 from velorisk.llm.decontaminate import folded
 from velorisk.llm.labels import SAMPLE_ROWS, labelled_sample
 
@@ -113,7 +113,7 @@ def learn_toxicity(
             lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("label"), lists], ["label", "tokens"])
 
-    stored = materialise(sample.mapInArrow(tokens, "label int, tokens array<long>"), "toxicity-sample")
+    stored = materialise(sample.transform(map_batches, tokens, "label int, tokens array<long>"), "toxicity-sample")
     everything, toxic = stored.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < toxic < everything:
         return Classifier(np.zeros(0, np.uint64), np.zeros(0), 3.0 if toxic else -3.0)
@@ -134,8 +134,8 @@ def fit(
     texts: list[np.ndarray],
     toxic: np.ndarray,
     fairness: float = 1.0,
-    rounds: int = 300,
-    ridge: float = 1e-4,
+    rounds: int = 500,
+    ridge: float = 2e-5,
 ) -> Classifier:
     """Logistic loss, a ridge penalty and the counterfactual penalty over the features ``words`` (ascending hashes), by
     gradient descent over all texts at once."""
@@ -204,4 +204,4 @@ def score_toxicity(docs: DataFrame, classifier: Classifier, text: str = "text")
             raw = np.bincount(rows, weights=weights, minlength=batch.num_rows) + model.constant
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(_squash(raw))], ["row", "score"])
 
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(score, schema)
+    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).transform(map_batches, score, schema)
