@@ -16,6 +16,7 @@ from velorisk.llm.quality import FEATURES, measure
 _WORD = byte_class(WHITE, inverse=True)
 #: Domains are the values of ``labels.quality``; shares of tokens that the mixture shall have.
 TARGETS = {0: 0.02, 1: 0.98}
+MOST_RATE = 4.0
 
 
 @dataclass(frozen=True)
@@ -125,7 +126,7 @@ def fit_rates(
         matrix = np.zeros((k, k))
         for (i, j), value in zip(pairs, got[k:], strict=True):
             matrix[i, j] = matrix[j, i] = value
-        step = np.linalg.pinv(matrix, rcond=1e-9) @ residual
+        step = np.linalg.pinv(matrix, rcond=1e-3) @ residual
         steps.append(step)
         narrow = narrow.withColumn("w", stepped(w, [F.col(f"p{i}") for i in range(k)], step))
         if (turn + 1) % store_every == 0:
@@ -175,6 +176,12 @@ def mix(
         "narrow",
     )
     wanted = shares / shares.sum() * ((total_tokens if total_tokens is not None else everything) / scale)
+    if everything:
+        # A domain is raised to ``MOST_RATE`` times what it has at most; the others take the rest.
+        there = np.array(narrow.agg(*(F.sum(F.col("t") * F.col(f"p{i}")) for i in range(len(classes)))).first(), float)
+        held = np.minimum(wanted, MOST_RATE * there)
+        free = np.where(held < wanted, 0.0, wanted)
+        wanted = held + (wanted - held).sum() * free / max(free.sum(), 1e-12)
     steps, _, _ = fit_rates(narrow, wanted) if everything else ([], wanted, wanted)
     sent = [[float(x) for x in s] for s in steps]
     rate = F.lit(1.0)
