@@ -80,6 +80,19 @@ def test_crowd_of_copies_is_one_class(docs_of):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == plain_classes(list(enumerate(texts)))
 
 
+def test_sparse_chains_in_blocks_of_many_groups(docs_of):
+    rng = np.random.default_rng(5)
+    texts = []
+    for c in range(40):
+        words = [f"c{c}w{k}" for k in range(100)]
+        for step in range(12):
+            words[4 + 8 * step] = f"c{c}v{step}"
+            texts.append(" ".join(words))
+    texts = [texts[k] for k in rng.permutation(len(texts))]
+    got = neardup.near_duplicates(docs_of(texts), neardup.Search(group=4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == plain_classes(list(enumerate(texts)))
+
+
 def test_awkward_near_duplicates(awkward, nothing):
     got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(awkward).collect())
     assert got[(1, 3, 1, True)] == 2 and got[(2, 3, 1, False)] == 1 and got[(None, 3, None, True)] == 1

@@ -251,7 +251,7 @@ def _compared(leaves: DataFrame, how: Search) -> DataFrame:
 
 
 def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str = "text") -> DataFrame:
-    """What true links within blocks (node, root) connect, as stars.
+    """Links that connect what true links within blocks (node, root) connect.
 
     A block's members meet with their whole sets, in groups of about ``group``
     against as many: one group for a small block, every pair of groups for a
@@ -376,8 +376,7 @@ def _confirming(percent: int):
                     rows, partners = mine, mine
                 else:
                     rows, partners = mine[side[mine] == 0], mine[side[mine] == 1]
-                fresh = set(node[rows].tolist())
-                pairs = []
+                pairs, confirmed = [], []
                 for r in rows:
                     others = partners[partners > r] if side[begin] == 2 else partners
                     others = others[100 * np.minimum(sizes[others], sizes[r]) >= percent * np.maximum(sizes[others], sizes[r])]
@@ -391,7 +390,9 @@ def _confirming(percent: int):
                         np.frombuffer(sets[r], np.uint64), np.frombuffer(sets[o], np.uint64), percent
                     ):
                         forest.joins(a, b)
-                found += [(x, r) for x, r in forest.stars() if side[begin] == 2 or x in fresh or r in fresh]
+                        confirmed.append((a, b))
+                # Stars of a larger block would run over nodes of other tasks: there each confirmed pair is told as it is.
+                found += forest.stars() if side[begin] == 2 else confirmed
             if found:
                 yield _links(found)
 
