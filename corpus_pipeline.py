@@ -21,8 +21,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates. Rows without an id stay."""
-    gone = neardup.near_duplicates(docs, neardup.Search(percent=85, words=5)).where("NOT kept").select("doc_id").distinct()
+    """The document with the smallest id of each group of near duplicates, at a similarity of 0.80. Rows without an id stay."""
+    gone = neardup.near_duplicates(docs, neardup.Search(percent=80, words=5, close=0.75)).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

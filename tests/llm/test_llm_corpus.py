@@ -305,3 +305,14 @@ def test_stages_keep_clean_documents(spark, tmp_path):
     assert left["decontamination"] == set(range(40))
     assert left["mixing"] == set(range(40))
     assert {i for r in docs.collect() for i in r.doc_ids} == set(range(40))
+
+
+def test_near_copies_from_four_fifths_on_go(spark, docs_of):
+    words = [f"w{k}" for k in range(104)]
+    changed = lambda *at: " ".join(f"v{k}" if k in at else w for k, w in enumerate(words))
+    texts = [" ".join(words), changed(20, 60), changed(20, 40, 60, 80), "another text of several words"]
+    # Of 100 shingles, 90 are shared by the first two: 90 / 110 = 0.82; the third has 80 / 120 with the first, 90 / 110 with the second.
+    assert [x[1] for x in plain_classes(list(enumerate(texts))).values()] == [0, 1, 2, 3]
+    assert [x[1] for x in plain_classes(list(enumerate(texts)), percent=80).values()] == [0, 0, 0, 3]
+    left = corpus_pipeline.without_near_copies(spark, docs_of(texts), "")
+    assert {r.doc_id for r in left.collect()} == {0, 3}

@@ -39,7 +39,8 @@ class Search:
     an estimate of ``loose``: true partners of 0.85 lie ten deviations above it.
     A document this ``close`` to the pivot of a large node leaves the node: its
     true partners are at most 0.15 farther from the pivot, two deviations or more
-    within the loose link to it, and every tree has other pivots.
+    within the loose link to it, and every tree has other pivots. Another ``percent``
+    wants ``close`` moved by as much the other way: 0.75 at 80.
     """
 
     percent: int = 85
