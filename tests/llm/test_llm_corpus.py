@@ -239,6 +239,34 @@ def test_rates_meet_the_targets(spark):
     assert sum(r.tokens * r.posterior[0] * r.rate for r in got) == pytest.approx(total, rel=0.02)
 
 
+@pytest.fixture(scope="module")
+def few_poor(spark):
+    rng = np.random.default_rng(16)
+    good = lambda n: " ".join(rng.choice(["quiet", "river", "under", "stone"]) for _ in range(n)) + "."
+    poor = lambda n: " | ".join(rng.choice(["HOME", "ABOUT", "***"]) for _ in range(n))
+    docs = spark.createDataFrame([(i, poor(60) if i < 10 else good(60)) for i in range(400)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i >= 10), 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    return docs, labels
+
+
+@pytest.mark.parametrize("targets", [{0: 0.3, 1: 0.7}, {0: 1.0, 1: 0.0}])
+def test_targets_beyond_four_times_a_domain_are_met(few_poor, targets):
+    got = mixing.mix(*few_poor, targets).collect()
+    total = sum(r.tokens for r in got)
+    reached = [sum(r.tokens * r.posterior[k] * r.rate for r in got) for k in (0, 1)]
+    assert reached == pytest.approx([targets[0] * total, targets[1] * total], abs=0.02 * total)
+    assert got[0].targets == pytest.approx([targets[0] * total, targets[1] * total])
+    assert got[0].reached == pytest.approx(reached, abs=1e-3 * total)
+
+
+def test_a_domain_without_labels_is_told(few_poor):
+    docs, labels = few_poor
+    with pytest.warns(UserWarning, match="aimed at"):
+        got = mixing.mix(docs, labels.where("quality = 1"), {0: 0.1, 1: 0.9}).collect()
+    total = sum(r.tokens for r in got)
+    assert got[0].reached == pytest.approx([0, 0.9 * total], abs=1e-3 * total)
+
+
 def test_awkward_mixing(awkward, nothing, no_labels):
     got = mixing.mix(awkward, no_labels).collect()
     assert len(got) == awkward.count() and all(r.rate >= 0 for r in got)

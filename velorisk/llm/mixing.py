@@ -1,5 +1,6 @@
 """Mixing to target weights: soft domains from a labelled-table classifier, rates by projected gradient least squares."""
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,8 @@ from velorisk.llm.quality import FEATURES, measure
 _WORD = byte_class(WHITE, inverse=True)
 #: Domains are the values of ``labels.quality``; shares of tokens that the mixture shall have.
 TARGETS = {0: 0.02, 1: 0.98}
-MOST_RATE = 4.0
+#: A residual of this share of the targets' sum is told as a warning.
+TOLD = 1e-3
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,7 @@ def learn_domains(
             step = x.T @ (posteriors(Domains(classes, weights), x) - y) / len(x) + 1e-4 * weights
             moment, energy = 0.9 * moment + 0.1 * step, 0.999 * energy + 0.001 * step**2
             weights = weights - 0.1 * (moment / (1 - 0.9**k)) / (np.sqrt(energy / (1 - 0.999**k)) + 1e-8)
+        weights[0, [classes.index(c) for c in classes if c not in {r[1] for r in rows}]] = -np.inf
     return Domains(classes, weights)
 
 
@@ -149,13 +152,16 @@ def mix(
     total_tokens: float | None = None,
     text: str = "text",
 ) -> DataFrame:
-    """Every row of ``docs`` as struct ``row``, with tokens, posterior (in order of the targets), rate and copies.
+    """Every row of ``docs`` as struct ``row``, with tokens, posterior (in order of the targets), rate, copies,
+    and the same in every row: the ``targets`` in tokens, and the tokens ``reached``.
 
     Domains are the values of a column of ``labels``; ``targets`` gives their
     shares of the mixture's tokens, ``total_tokens`` its size, by default as many
     as there are. Rates are nonnegative, and with them the expected tokens of every
     domain, summed over soft memberships, meet the targets as well as least squares
-    allows. ``copies`` is the rate rounded up or down by a hash of the document
+    allows: they have no upper limit, so a rare domain with a large target is repeated
+    often. A domain that no labelled document has cannot be told, its posterior is 0
+    and its target is not reached. What stays unmet is also told as a warning. ``copies`` is the rate rounded up or down by a hash of the document
     with the chance that keeps its expectation. A null or empty text has no tokens
     and rate 1; equal rows get equal rates and copies. Without tokens all rates are
     1. Other columns pass through inside ``row``.
@@ -176,13 +182,9 @@ def mix(
         "narrow",
     )
     wanted = shares / shares.sum() * ((total_tokens if total_tokens is not None else everything) / scale)
-    if everything:
-        # A domain is raised to ``MOST_RATE`` times what it has at most; the others take the rest.
-        there = np.array(narrow.agg(*(F.sum(F.col("t") * F.col(f"p{i}")) for i in range(len(classes)))).first(), float)
-        held = np.minimum(wanted, MOST_RATE * there)
-        free = np.where(held < wanted, 0.0, wanted)
-        wanted = held + (wanted - held).sum() * free / max(free.sum(), 1e-12)
-    steps, _, _ = fit_rates(narrow, wanted) if everything else ([], wanted, wanted)
+    steps, reached, residual = fit_rates(narrow, wanted) if everything else ([], np.zeros_like(wanted), -wanted)
+    if np.abs(residual).max() > TOLD * wanted.sum():
+        warnings.warn(f"tokens aimed at {(wanted * scale).tolist()}, reached {(reached * scale).tolist()}", stacklevel=2)
     sent = [[float(x) for x in s] for s in steps]
     rate = F.lit(1.0)
     if sent:
@@ -196,4 +198,6 @@ def mix(
         )
     chance = F.pmod(F.xxhash64(F.lit(5), F.col("row.doc_id"), F.col(f"row.{text}")), F.lit(1 << 40)) / float(1 << 40)
     rated = found.withColumn("rate", F.when(F.col("tokens") > 0, rate).otherwise(F.lit(1.0)))
-    return rated.withColumn("copies", F.floor(F.col("rate") + chance))
+    told = {"targets": wanted * scale, "reached": reached * scale}
+    lists = {name: F.array(*(F.lit(float(x)) for x in values)) for name, values in told.items()}
+    return rated.withColumn("copies", F.floor(F.col("rate") + chance)).withColumns(lists)
