@@ -267,6 +267,13 @@ def test_a_domain_without_labels_is_told(few_poor):
     assert got[0].reached == pytest.approx([0, 0.9 * total], abs=1e-3 * total)
 
 
+def test_rare_domain_reaches_its_target(spark):
+    rare = "w double, t double, p0 double, p1 double"
+    narrow = spark.createDataFrame([(1.0, 1 / 5000, float(i < 4), float(i >= 4)) for i in range(5000)], rare)
+    _, reached, residual = mixing.fit_rates(narrow, np.array([0.02, 0.98]))
+    assert reached == pytest.approx([0.02, 0.98], abs=1e-5) and np.abs(residual).max() < 1e-5
+
+
 def test_awkward_mixing(awkward, nothing, no_labels):
     got = mixing.mix(awkward, no_labels).collect()
     assert len(got) == awkward.count() and all(r.rate >= 0 for r in got)

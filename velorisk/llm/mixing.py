@@ -129,7 +129,8 @@ def fit_rates(
         matrix = np.zeros((k, k))
         for (i, j), value in zip(pairs, got[k:], strict=True):
             matrix[i, j] = matrix[j, i] = value
-        step = np.linalg.pinv(matrix, rcond=1e-3) @ residual
+        # Directions are cut near rounding only: a rare domain has a small eigenvalue and is corrected like any other.
+        step = np.linalg.pinv(matrix, rcond=1e-9, hermitian=True) @ residual
         steps.append(step)
         narrow = narrow.withColumn("w", stepped(w, [F.col(f"p{i}") for i in range(k)], step))
         if (turn + 1) % store_every == 0:
