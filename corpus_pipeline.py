@@ -33,8 +33,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says."""
-    found = mixing.mix(docs, read_table(spark, sf_dir, "labels"))
+    """Documents as often as their rate says. Targets are shares among the domains that the labels have; no others can be told."""
+    labels = read_table(spark, sf_dir, "labels")
+    there = {r.quality for r in labels.select("quality").where(F.col("quality").isin(list(mixing.TARGETS))).distinct().collect()}
+    found = mixing.mix(docs, labels, {c: x for c, x in mixing.TARGETS.items() if c in there} or mixing.TARGETS)
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return found.where("copies > 0").select("row.*", times.alias("_time")).drop("_time")
 
