@@ -4,10 +4,12 @@ import json
 import os
 import sys
 import time
+from collections.abc import Callable
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from velorisk import derived  # noqa: E402
@@ -20,18 +22,10 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
 
-def main() -> None:
-    spark = build_session(
-        "bench",
-        f"local[{CPUS}]",
-        spark__sql__shuffle__partitions=CPUS,
-        spark__driver__memory="12g",
-        spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false",
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    scattered = derived.raw_tables(spark, FOLDER)
-    lattice = derived.raw_tables(spark, FOLDER, lattice=True)
+def entries(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """What is timed, by name. Each entry builds its DataFrame anew."""
+    scattered = derived.raw_tables(spark, folder)
+    lattice = derived.raw_tables(spark, folder, lattice=True)
 
     def staged(raw):
         return (
@@ -54,7 +48,7 @@ def main() -> None:
 
     stations, accidents, journeys = staged(scattered)
     scattered_corridors, lattice_corridors = located(scattered), located(lattice)
-    queries = {
+    return {
         "radius_500m_pairs": lambda: spatial.radius_join(stations, accidents, how="inner"),
         "radius_500m_pairs_left": lambda: spatial.radius_join(stations, accidents),
         "journey_positions": lambda: positions.with_positions(
@@ -77,16 +71,28 @@ def main() -> None:
         "temporal_mart": lambda: marts.temporal_patterns(scattered.accidents),
     }
 
-    def run(build) -> float:
-        began = time.perf_counter()
-        # The no-op sink computes every column of every row and keeps nothing.
-        build().write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - began
 
+def seconds_of(entry: Callable[[], DataFrame]) -> float:
+    began = time.perf_counter()
+    # The no-op sink computes every column of every row and keeps nothing.
+    entry().write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - began
+
+
+def main() -> None:
+    spark = build_session(
+        "bench",
+        f"local[{CPUS}]",
+        spark__sql__shuffle__partitions=CPUS,
+        spark__driver__memory="12g",
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
+    )
+    spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
-    for name, build in queries.items():
-        run(build)
-        seconds[name] = round(min(run(build) for _ in range(2)), 3)
+    for name, entry in entries(spark, FOLDER).items():
+        seconds_of(entry)
+        seconds[name] = round(min(seconds_of(entry) for _ in range(2)), 3)
     print(
         json.dumps(
             {

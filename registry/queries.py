@@ -206,7 +206,7 @@ def src2_source_file_tag(spark, sf):
 
 @query
 def src3_newest_files(spark, sf):
-    return listing.newest_files(listing.journey_files(feeds.file_names(spark, sf)))
+    return listing.newest_files(listing.journey_files(feeds.file_names(spark, sf)), n=12)
 
 
 @query
