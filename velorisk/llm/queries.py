@@ -1,12 +1,13 @@
 """The registered query of each operator, over its whole table with production parameters."""
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorisk.llm import decontaminate, language, lines, mixing, neardup, quality, repeats, shards, toxicity, warc
-from velorisk.llm.common import held_out, read_table, scratch_path
+from velorisk.llm import decontaminate, kernel, language, lines, mixing, neardup, pivots, quality, repeats, shards, spelling, toxicity, warc
+from velorisk.llm.common import held_out, materialise, read_table, scratch_path
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +97,30 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.write_shards(docs, scratch_path(spark, "shards"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.damaged_words(read_table(spark, sf_dir, "documents"), least=7, every=31)
+    found = spelling.variants(spelling.vocabulary(words, least_n=2), ratio=10)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    measured = materialise(kernel.with_statistics(docs).select("row.doc_id", "statistics"), "statistics")
+    model = kernel.learn(measured, read_table(spark, sf_dir, "labels").where(~held))
+    scored = kernel.with_score(measured, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = pivots.cluster(read_table(spark, sf_dir, "embeddings"), pivots.Clustering(clusters=8, rounds=10, seed="3"))
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
+    named = F.get(F.array(*map(F.lit, digests)), F.col("cluster")) if digests else F.lit(None).cast("string")
+    return pivots.with_inertia(assigned).select(
+        F.col("key").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", named.alias("centroid_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -109,5 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_repeats,
         op10_token_shards,
+        op11_spelling,
+        op12_kernel_quality,
+        op13_pivot_clusters,
     )
 }
