@@ -3,6 +3,7 @@
 import hashlib
 import io
 import re
+import warnings
 import zlib
 from collections import Counter
 
@@ -270,8 +271,30 @@ def test_a_domain_without_labels_is_told(few_poor):
 def test_rare_domain_reaches_its_target(spark):
     rare = "w double, t double, p0 double, p1 double"
     narrow = spark.createDataFrame([(1.0, 1 / 5000, float(i < 4), float(i >= 4)) for i in range(5000)], rare)
-    _, reached, residual = mixing.fit_rates(narrow, np.array([0.02, 0.98]))
-    assert reached == pytest.approx([0.02, 0.98], abs=1e-5) and np.abs(residual).max() < 1e-5
+    fit = mixing.fit_rates(narrow, np.array([0.02, 0.98]))
+    assert fit.reached == pytest.approx([0.02, 0.98], abs=1e-5) and np.abs(fit.residual).max() < 1e-5
+
+
+@pytest.mark.parametrize("target", [(0.97, 0.01, 0.01, 0.01), (0.5, 0.5, 0.0, 0.0), (0.25, 0.25, 0.25, 0.25), (0.4, 0.6), (0.999, 0.001)])
+def test_rates_meet_the_conditions_of_least_squares(spark, target):
+    """Nonnegative rates are the best ones if no document's gradient is below 0, and it is 0 wherever the rate isn't."""
+    rng, k = np.random.default_rng(17), len(target)
+    p = rng.dirichlet([0.6] * k, 300)
+    p[:, 0] = np.minimum(p[:, 0], 0.6)  # a target of nearly all tokens in the first domain can't be met
+    p /= p.sum(1, keepdims=True)
+    t = rng.exponential(1, 300)
+    t /= t.sum()
+    rows = spark.createDataFrame([(float(x), *map(float, y)) for x, y in zip(t, p)], "t double, " + ", ".join(f"p{i} double" for i in range(k)))
+    fit = mixing.fit_rates(rows, np.array(target))
+    lists = rows.withColumn("posterior", F.array(*[f"p{i}" for i in range(k)]))
+    w = np.array([r.rate for r in lists.select(mixing.rate_of(F.col("posterior"), fit).alias("rate")).collect()])
+    reached = (w * t) @ p
+    np.testing.assert_allclose(fit.reached, reached, atol=1e-9)  # what is told is what the rates give
+    gradient = p @ (reached - np.array(target))
+    assert w.min() >= 0 and gradient.min() > -1e-4 and np.abs(w * t * gradient).sum() < 1e-4
+    # A few rounds more or less don't matter once it has ended.
+    again = mixing.fit_rates(rows, np.array(target), rounds=len(fit.steps) + 1)
+    np.testing.assert_allclose(again.reached, fit.reached, atol=1e-3)
 
 
 def test_awkward_mixing(awkward, nothing, no_labels):
@@ -351,3 +374,34 @@ def test_near_copies_from_four_fifths_on_go(spark, docs_of):
     assert [x[1] for x in plain_classes(list(enumerate(texts)), percent=80).values()] == [0, 0, 0, 3]
     left = corpus_pipeline.without_near_copies(spark, docs_of(texts), "")
     assert {r.doc_id for r in left.collect()} == {0, 3}
+
+
+def test_rows_that_repeat_an_id_are_documents_of_their_own(spark):
+    a, b = "one two three four five six seven eight nine ten", "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(5, a), (5, b), (2, a + " "), (3, b), (5, a), (7, "something else in the end of it"), (7, "something else in the end of it"), (None, a), (None, a)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, kept string").repartition(3)
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept, r.sole) for r in neardup.near_duplicates(df).collect())
+    assert got == sorted([(5, 2, False, False), (5, 3, False, False), (2, 2, True, True), (3, 3, True, True), (5, 2, False, False), (7, 7, True, True), (7, 7, True, True), (0, 0, True, True), (0, 0, True, True)])
+    left = corpus_pipeline.without_near_copies(spark, df, "")
+    assert left.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(2, a + " "), (3, b), (7, rows[5][1]), (0, a), (0, a)])
+
+
+def test_one_of_two_texts_with_the_same_id_stays(spark):
+    words = [f"w{k}" for k in range(200)]
+    rows = [(4, " ".join(words)), (4, " ".join([*words[:-1], "other"])), (4, "a unique text under the same id")]
+    left = corpus_pipeline.without_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    assert len(left) == 2 and rows[2][1] in {r.text for r in left}
+
+
+def test_stages_of_tables_without_rows(spark, nothing, no_labels, tmp_path):
+    """Without benchmark items nothing is contaminated; without labels everything stays."""
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    no_labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, f"text number {i} of a small table", "en", "s", 20) for i in range(5)], nothing.schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, nothing, str(tmp_path)).count() == 0, name
+    for name, stage in corpus_pipeline.STAGES[2:4]:
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            assert stage(spark, docs, str(tmp_path)).count() == 5, name

@@ -98,51 +98,106 @@ def member(docs: DataFrame, domains: Domains, text: str = "text") -> DataFrame:
     return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).transform(map_batches, work, schema)
 
 
+@dataclass(frozen=True)
+class Rates:
+    """Steps that lead every document's rate from 1 to the fitted one, the totals reached, and what is left to the targets.
+
+    ``scale`` is one over the mass of each domain; a step is a direction over the domains and a share of momentum.
+    """
+
+    scale: np.ndarray
+    steps: list[tuple[np.ndarray, float]]
+    reached: np.ndarray
+    residual: np.ndarray
+
+
 def fit_rates(
-    members: DataFrame, targets: np.ndarray, rounds: int = 40, within: float = 1e-6, store_every: int = 8
-) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Corrections that make rates meet the targets, the reached totals and their history's last residual.
-
-    ``members`` has columns w (1), t (share of all tokens) and p0, p1, ... (the
-    posterior). Every round takes the step w <- max(0, w - p . s) for every
-    document, where s is the residual of the totals sum(w t p) times the inverse of
-    sum(t p p') over the documents still above 0: the gradient of the least squares
-    problem, with rates weighed by tokens so that a document's length doesn't bend
-    its rate, in coordinates that make steps of length 1 safe. A round is one
-    aggregation over a narrow table; the driver sees the totals and that small
-    matrix. Rates are never collected, they follow from the list of corrections.
+    members: DataFrame, targets: np.ndarray, rounds: int = 200, within: float = 1e-6, store_every: int = 8
+) -> Rates:
+    """Nonnegative rates w whose totals sum(w t p) come as close to the targets as least squares allows.
+
+    ``members`` has columns t (share of all tokens) and p0, p1, ... (the posterior).
+    Projected gradient: w <- max(0, y - d (p . r) / bound), where r is the residual of
+    the totals at y and d = sum(p / mass of the domain) lets documents of a rare domain
+    move as fast as others. ``bound`` is the largest eigenvalue of sum(d t p p'), so a
+    step never overshoots. y runs ahead of w by momentum, which ends whenever the
+    objective would rise. The fit ends when the totals are met, or when no rate moves by
+    more than ``within`` under a step, which is the projected gradient. A round is one
+    aggregation over a narrow table; the driver sees totals. Rates are never collected,
+    they follow from the list of steps.
     """
     k = len(targets)
-    steps: list[np.ndarray] = []
-    narrow = members
-    last = None
-    for turn in range(rounds):
-        w = F.col("w")
-        totals = [F.coalesce(F.sum(w * F.col("t") * F.col(f"p{i}")), F.lit(0.0)) for i in range(k)]
-        pairs = [(i, j) for i in range(k) for j in range(i + 1)]
-        gram = [F.coalesce(F.sum(F.when(w > 0, F.col("t") * F.col(f"p{i}") * F.col(f"p{j}"))), F.lit(0.0)) for i, j in pairs]
-        got = narrow.agg(*totals, *gram).first()
-        residual = np.array(got[:k]) - targets
-        last = residual
-        if np.abs(residual).max() <= within * max(1.0, np.abs(targets).max()):
+    p = [F.col(f"p{i}") for i in range(k)]
+    mass = np.array(members.agg(*[F.coalesce(F.sum(F.col("t") * x), F.lit(0.0)) for x in p]).first(), float)
+    scale = np.where(mass > 0, 1 / np.where(mass > 0, mass, 1), 0.0)
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+    d = _pace(p, scale)
+    found = members.agg(*[F.coalesce(F.sum(d * F.col("t") * p[i] * p[j]), F.lit(0.0)) for i, j in pairs]).first()
+    matrix = np.zeros((k, k))
+    for (i, j), value in zip(pairs, found, strict=True):
+        matrix[i, j] = matrix[j, i] = value
+    bound = max(float(np.linalg.eigvalsh(matrix)[-1]), 1e-300)
+    narrow = members.select("t", *[f"p{i}" for i in range(k)], F.lit(1.0).alias("w"), F.lit(1.0).alias("y"), F.lit(1.0).alias("moved"))
+    steps: list[tuple[np.ndarray, float]] = []
+    lowest, theta = np.inf, 1.0
+    for turn in range(rounds + 1):
+        sums = [F.coalesce(F.sum(F.col(v) * F.col("t") * x), F.lit(0.0)) for v in ("w", "y") for x in p]
+        got = narrow.agg(*sums, F.coalesce(F.max("moved"), F.lit(0.0))).first()
+        reached, ahead = np.array(got[:k]), np.array(got[k : 2 * k])
+        residual = reached - targets
+        met = np.abs(residual).max() <= within * max(1.0, np.abs(targets).max())
+        if met or got[2 * k] <= within or turn == rounds:
             break
-        matrix = np.zeros((k, k))
-        for (i, j), value in zip(pairs, got[k:], strict=True):
-            matrix[i, j] = matrix[j, i] = value
-        # Directions are cut near rounding only: a rare domain has a small eigenvalue and is corrected like any other.
-        step = np.linalg.pinv(matrix, rcond=1e-9, hermitian=True) @ residual
-        steps.append(step)
-        narrow = narrow.withColumn("w", stepped(w, [F.col(f"p{i}") for i in range(k)], step))
+        value = float(residual @ residual)
+        if value > lowest:  # momentum has carried too far: begin anew from w
+            theta, ahead = 1.0, reached
+            narrow = narrow.withColumn("y", F.col("w"))
+            steps.append((np.zeros(k), -1.0))
+        lowest = value
+        following = (1 + np.sqrt(1 + 4 * theta**2)) / 2
+        steps.append(((ahead - targets) / bound, float((theta - 1) / following)))
+        theta = following
+        fresh, further = stepped(F.col("w"), F.col("y"), p, scale, *steps[-1])
+        narrow = narrow.select("t", *p, fresh.alias("w"), further.alias("y"), F.abs(fresh - F.col("y")).alias("moved"))
         if (turn + 1) % store_every == 0:
             narrow = materialise(narrow, "rates")
-    return steps, targets + (last if last is not None else 0), last
+    return Rates(scale, steps, reached, residual)
+
+
+def _dot(p: list[Column], values: np.ndarray) -> Column:
+    total = F.lit(0.0)
+    for x, v in zip(p, values, strict=True):
+        total = total + x * F.lit(float(v))
+    return total
+
+
+def _pace(p: list[Column], scale: np.ndarray) -> Column:
+    return _dot(p, scale)
+
+
+def stepped(w: Column, y: Column, p: list[Column], scale: np.ndarray, step: np.ndarray, momentum: float) -> tuple[Column, Column]:
+    """Rates after a step, and the point ahead of them from which the next one starts."""
+    fresh = F.greatest(F.lit(0.0), y - _pace(p, scale) * _dot(p, step))
+    return fresh, fresh + (fresh - w) * F.lit(momentum)
+
+
+def rate_of(posterior: Column, fit: Rates) -> Column:
+    """The fitted rate of a document, from its posterior: all steps again. A momentum of -1 stands for a new start."""
+    if not fit.steps:
+        return F.lit(1.0)
+    every = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in s]).alias("s"), F.lit(m).alias("m")) for s, m in fit.steps])
+
+    def dot(values: Column) -> Column:
+        return F.aggregate(F.zip_with(posterior, values, lambda x, v: x * v), F.lit(0.0), lambda total, x: total + x)
+
+    pace = dot(F.array(*[F.lit(float(x)) for x in fit.scale]))
 
+    def move(state: Column, step: Column) -> Column:
+        fresh = F.greatest(F.lit(0.0), state["y"] - pace * dot(step["s"]))
+        again = F.struct(state["w"].alias("w"), state["w"].alias("y"))
+        return F.when(step["m"] < 0, again).otherwise(F.struct(fresh.alias("w"), (fresh + (fresh - state["w"]) * step["m"]).alias("y")))
 
-def stepped(w: Column, p: list[Column], step: np.ndarray) -> Column:
-    move = F.lit(0.0)
-    for x, s in zip(p, step, strict=True):
-        move = move + x * F.lit(float(s))
-    return F.greatest(F.lit(0.0), w - move)
+    return F.aggregate(every, F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("y")), move)["w"]
 
 
 def mix(
@@ -176,27 +231,18 @@ def mix(
     p = [F.col("posterior")[i] for i in range(len(classes))]
     narrow = materialise(
         found.where("tokens > 0").select(
-            F.lit(1.0).alias("w"),
             (F.col("tokens") / F.lit(float(scale))).alias("t"),
             *(x.alias(f"p{i}") for i, x in enumerate(p)),
         ),
         "narrow",
     )
     wanted = shares / shares.sum() * ((total_tokens if total_tokens is not None else everything) / scale)
-    steps, reached, residual = fit_rates(narrow, wanted) if everything else ([], np.zeros_like(wanted), -wanted)
-    if np.abs(residual).max() > TOLD * wanted.sum():
+    nothing = Rates(np.zeros_like(wanted), [], np.zeros_like(wanted), -wanted)
+    fit = fit_rates(narrow, wanted) if everything else nothing
+    reached = fit.reached
+    if np.abs(fit.residual).max() > TOLD * wanted.sum():
         warnings.warn(f"tokens aimed at {(wanted * scale).tolist()}, reached {(reached * scale).tolist()}", stacklevel=2)
-    sent = [[float(x) for x in s] for s in steps]
-    rate = F.lit(1.0)
-    if sent:
-        moves = F.array(*(F.array(*(F.lit(x) for x in s)) for s in sent))
-        rate = F.aggregate(
-            moves,
-            F.lit(1.0),
-            lambda w, s: F.greatest(
-                F.lit(0.0), w - F.aggregate(F.zip_with(F.col("posterior"), s, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
-            ),
-        )
+    rate = rate_of(F.col("posterior"), fit)
     chance = F.pmod(F.xxhash64(F.lit(5), F.col("row.doc_id"), F.col(f"row.{text}")), F.lit(1 << 40)) / float(1 << 40)
     rated = found.withColumn("rate", F.when(F.col("tokens") > 0, rate).otherwise(F.lit(1.0)))
     told = {"targets": wanted * scale, "reached": reached * scale}

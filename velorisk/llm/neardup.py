@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from velorisk.llm.common import (
@@ -85,7 +85,7 @@ def minwise(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, two sums that stand for the set, and its minwise tokens (null for an empty set)."""
+    """doc_id, a hash of the text, n_shingles, two sums that stand for the set, and its minwise tokens (0 for an empty set)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -93,22 +93,34 @@ def fingerprints(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
             sizes = np.bincount(rows, minlength=batch.num_rows)
             full = np.flatnonzero(sizes)
             begins = np.searchsorted(rows, full)
-            sums = np.zeros((2, batch.num_rows), np.uint64)
-            for k in (0, 1):
-                if len(full):
-                    sums[k, full] = np.add.reduceat(mixed(hashes, k + 1), begins)
+            sums = _set_sums(hashes, begins, full, batch.num_rows)
             tokens = np.zeros((batch.num_rows, TOKENS), np.int32)
             tokens[full] = minwise(hashes, begins)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * TOKENS), pa.array(tokens.ravel())
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), *(pa.array(s.view(np.int64)) for s in sums), lists],
-                ["doc_id", "n_shingles", "sum1", "sum2", "tokens"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    pa.array(sizes.astype(np.int64)),
+                    *(pa.array(s.view(np.int64)) for s in sums),
+                    lists,
+                ],
+                ["doc_id", "text_hash", "n_shingles", "sum1", "sum2", "tokens"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.transform(map_batches, work, "doc_id long, n_shingles long, sum1 long, sum2 long, tokens array<int>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    return rows.transform(map_batches, work, "doc_id long, text_hash long, n_shingles long, sum1 long, sum2 long, tokens array<int>")
+
+
+def _set_sums(hashes: np.ndarray, begins: np.ndarray, full: np.ndarray, n: int) -> np.ndarray:
+    """Two sums over each set, in rows ``full`` of ``n``; sets with equal sums and sizes count as equal."""
+    sums = np.zeros((2, n), np.uint64)
+    for k in (0, 1):
+        if len(full):
+            sums[k, full] = np.add.reduceat(mixed(hashes, k + 1), begins)
+    return sums
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 8000) -> Iterator[pa.Table]:
@@ -196,36 +208,38 @@ def loose_links(sets: DataFrame, how: Search) -> DataFrame:
         F.array(*(F.xxhash64(F.lit(t), F.get("tokens", F.lit(t * (TOKENS // how.trees)))) for t in range(how.trees)))
     )
     active = sets.select("node", first.alias("path"))
-    found = []
+    leaves, found = [], []
     while True:
-        sizes = active.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        placed = materialise(salted_join(active.select("node", "path"), sizes, ["path"], F.col("node")), "tree-level")
-        leaves = placed.where(F.col("size") <= how.leaf).select("node", "path").join(sets, "node")
-        found.append(materialise(_compared(leaves, how), "loose-links"))
-        large = placed.where(F.col("size") > how.leaf)
-        if large.isEmpty():
+        # The pivot is a member drawn by a hash; it comes with the count.
+        drawn = F.min_by("node", F.xxhash64("path", "node")).alias("pivot")
+        sizes = active.groupBy("path").agg(F.count("*").alias("size"), drawn).where("size > 1")
+        crowd = Observation()
+        placed = active.select("node", "path").join(sizes, "path").observe(crowd, F.count_if(F.col("size") > how.leaf).alias("large"))
+        placed = materialise(placed, "tree-level")
+        leaves.append(placed.where(F.col("size") <= how.leaf).select("node", "path"))
+        if not crowd.get.get("large"):
             break
-        large = materialise(large.select("node", "path").join(sets, "node"), "large-nodes")
-        least = large.groupBy("path").agg(F.min(F.xxhash64("path", "node")).alias("least"))
-        pivots = salted_join(large, least, ["path"], F.col("node")).where(F.xxhash64("path", "node") == F.col("least"))
-        pivots = pivots.groupBy("path").agg(F.min("node").alias("pivot")).join(
+        large = placed.where(F.col("size") > how.leaf).select("node", "path", "pivot")
+        pivots = large.where("node = pivot").select("path", "pivot").distinct().join(
             sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot"
         )
         same = F.aggregate(
             F.zip_with("tokens", "pivot_tokens", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
         )
-        held = materialise(
-            salted_join(large, pivots, ["path"], F.col("node")).select("node", "path", "pivot", same.alias("same"), "tokens"),
-            "large-nodes",
-        )
+        held = large.drop("pivot").join(sets, "node").join(pivots, "path").select("node", "path", "pivot", same.alias("same"), "tokens")
+        held = materialise(held, "large-nodes")
         found.append(
             held.where((F.col("same") >= int(how.loose * TOKENS)) & (F.col("node") != F.col("pivot"))).select(
                 F.col("node").alias("a"), F.col("pivot").alias("b")
             )
         )
         active = held.where(F.col("same") < how.close * TOKENS).select("node", _branches(F.col("path"), share).alias("path"))
-    links = found[0]
-    for more in found[1:]:
+    # Small nodes of all levels are compared in one go.
+    small = leaves[0]
+    for more in leaves[1:]:
+        small = small.unionByName(more)
+    links = _compared(small.join(sets, "node"), how)
+    for more in found:
         links = links.unionByName(more)
     return links
 
@@ -251,9 +265,12 @@ def _compared(leaves: DataFrame, how: Search) -> DataFrame:
     return leaves.repartition("path").sortWithinPartitions("path").transform(map_batches, work, "a long, b long")
 
 
-def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str = "text") -> DataFrame:
+def confirmed_links(docs: DataFrame, classes: DataFrame, blocks: DataFrame, how: Search, text: str = "text") -> DataFrame:
     """Links that connect what true links within blocks (node, root) connect.
 
+    A node is a class (node, doc_id, sum1, sum2); its set is read from the texts of that
+    id, and of these from one with those sums, since ids may repeat.
+
     A block's members meet with their whole sets, in groups of about ``group``
     against as many: one group for a small block, every pair of groups for a
     larger one, where a member that is linked to the block's pivot needs no
@@ -264,7 +281,8 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
         "groups", F.ceil(F.col("members") / how.group).cast("int")
     )
 
-    members_of = membership(blocks)
+    named = blocks.join(classes.select("node", "doc_id", "sum1", "sum2"), "node")
+    members_of = membership(named.select(F.col("doc_id").alias("node")))
     sent = docs.sparkSession.sparkContext.broadcast(members_of)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,18 +292,22 @@ def confirmed_links(docs: DataFrame, blocks: DataFrame, how: Search, text: str =
             hashes, rows = shingles(*utf8(batch.column("text")), how.words)
             full = np.flatnonzero(np.bincount(rows, minlength=batch.num_rows))
             begins = np.searchsorted(rows, full)
-            tokens = minwise(hashes, begins)
+            tokens, sums = minwise(hashes, begins), _set_sums(hashes, begins, np.arange(len(full)), len(full))
             ends = np.append(begins, len(rows))[1:]
             packed = pa.array([hashes[a:b].tobytes() for a, b in zip(begins, ends, strict=True)], pa.binary())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * TOKENS), pa.array(tokens.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(full)), packed, lists], ["node", "shingles", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(full)), *(pa.array(s.view(np.int64)) for s in sums), packed, lists],
+                ["doc_id", "sum1", "sum2", "shingles", "tokens"],
+            )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).alias("text"))
-    read_sets = texts.withColumn("places", _places(len(members_of) << 6)).transform(map_batches, read, "node long, shingles binary, tokens array<int>")
-    members = members.withColumn("pivot", F.xxhash64("root", "node") == F.col("least"))
-    sets = materialise(
-        members.select("node", "root", "groups", "pivot").join(read_sets, "node"), "block-sets"
+    read_sets = texts.withColumn("places", _places(len(members_of) << 6)).transform(
+        map_batches, read, "doc_id long, sum1 long, sum2 long, shingles binary, tokens array<int>"
     )
+    members = members.withColumn("pivot", F.xxhash64("root", "node") == F.col("least"))
+    keyed = members.select("node", "root", "groups", "pivot").join(named.drop("root"), "node")
+    sets = materialise(keyed.join(read_sets, ["doc_id", "sum1", "sum2"]).drop("doc_id", "sum1", "sum2"), "block-sets")
     small = sets.where("groups = 1").select(
         "root", F.lit(0).alias("i"), F.lit(0).alias("j"), "node", "shingles", "tokens", F.lit(2).alias("side"), F.lit(False).alias("settled")
     )
@@ -401,7 +423,7 @@ def _confirming(percent: int):
 
 
 def near_duplicates(docs: DataFrame, how: Search = Search(), text: str = "text") -> DataFrame:  # noqa: B008
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, and text_hash and sole.
 
     Words are runs of characters other than ASCII white space, A-Z in lower case.
     A set holds the distinct shingles of ``how.words`` words; a text with fewer
@@ -409,25 +431,42 @@ def near_duplicates(docs: DataFrame, how: Search = Search(), text: str = "text")
     Sets are linked if 100 * intersection >= percent * union. ``component_id`` is
     the smallest doc_id reachable, ``kept`` marks the document that bears it. Rows
     with equal sets are one class from the start, and only one of them is compared
-    with others. Rows that repeat an id share their class if they share their set.
-    A row without an id is linked with nothing and kept. Other columns are not
-    looked at.
+    with others. Rows that repeat an id are documents of their own. A row without an
+    id is linked with nothing and kept. Ids are whole numbers, or texts of them. Other
+    columns are not looked at. Two more columns tell rows apart: ``text_hash``, and
+    ``sole``, true for all rows of the one id and text that stands for its component
+    (the least id and, of these, the least hash); a row without an id stands for itself.
     """
     prints = materialise(fingerprints(docs, how.words, text), "fingerprints")
     usable = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
+    classes = usable.groupBy("sum1", "sum2", "n_shingles").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("tokens").alias("tokens")
+    )
+    # Ids may repeat, so a class gets a number of its own; it is fixed by being written.
     classes = materialise(
-        usable.groupBy("sum1", "sum2", "n_shingles").agg(
-            F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")
-        ),
+        classes.select(F.monotonically_increasing_id().alias("node"), "sum1", "sum2", "n_shingles", "first.doc_id", "first.text_hash", "tokens"),
         "classes",
     )
-    sets = classes.select("node", "tokens")
-    blocks = materialise(components(loose_links(sets, how)), "blocks")
+    blocks = materialise(components(loose_links(classes.select("node", "tokens"), how)), "blocks")
     texts = docs.where(F.col("doc_id").isNotNull())
-    roots = materialise(components(materialise(confirmed_links(texts, blocks, how, text), "links")), "roots")
-    copied = classes.where("copies > 1").select("sum1", "sum2", "n_shingles", "node")
-    named = salted_join(prints.drop("tokens"), copied, ["sum1", "sum2", "n_shingles"], F.col("doc_id"), how="left")
-    named = named.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("node", "doc_id")).alias("node"))
-    rooted = salted_join(named, roots, ["node"], F.col("doc_id"), how="left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id"))
-    return rooted.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    roots = materialise(components(materialise(confirmed_links(texts, classes, blocks, how, text), "links")), "roots")
+    first = F.struct(F.col("doc_id").alias("component_id"), F.col("text_hash").alias("component_hash"))
+    grouped = classes.select("node", first.alias("first")).join(roots, "node")
+    least = grouped.groupBy("root").agg(F.min("first").alias("first"))
+    joined = grouped.select("node", "root").join(least, "root").select("node", "first")
+    # Every class with what stands for it: itself, or the least of its component.
+    told = classes.join(joined, "node", "left").select("sum1", "sum2", "n_shingles", F.coalesce("first", first).alias("first"))
+    keys = ["sum1", "sum2", "n_shingles"]
+    named = salted_join(prints.drop("tokens"), told, keys, F.col("doc_id"), how="left").withColumn(
+        "first", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("first"))
+    )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first.component_id", "doc_id"))
+    stands = (F.col("doc_id") == F.col("first.component_id")) & (F.col("text_hash") == F.col("first.component_hash"))
+    return named.select(
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "text_hash",
+        F.coalesce(stands, F.lit(True)).alias("sole"),
+    )

@@ -31,7 +31,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return neardup.near_duplicates(docs, neardup.Search(percent=85, words=5))
+    found = neardup.near_duplicates(docs, neardup.Search(percent=85, words=5))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     mixed = mixing.mix(docs, read_table(spark, sf_dir, "labels"))
-    return mixed.select("row.doc_id", "tokens", "posterior", "rate", "copies")
+    return mixed.select("row.doc_id", "tokens", "posterior", "rate", "copies", "targets", "reached")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
