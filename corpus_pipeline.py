@@ -21,9 +21,25 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, at a similarity of 0.80. Rows without an id stay."""
-    gone = neardup.near_duplicates(docs, neardup.Search(percent=80, words=5, close=0.75)).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near duplicates, at a similarity of 0.80: the one with the smallest id.
+
+    Rows are told apart by id and text: a row whose id repeats with another text is a
+    document of its own, and of rows with equal id and text one stays. Rows without an
+    id stay. An empty table gives an empty one.
+    """
+    found = neardup.near_duplicates(docs, neardup.Search(percent=80, words=5, close=0.75))
+    found = materialise(found.where("doc_id IS NOT NULL").select("doc_id", "text_hash", "sole"), "near-duplicates")
+    key = ["doc_id", "text_hash"]
+    gone = found.where("NOT sole").select(*key).distinct()
+    again = found.where("sole").groupBy(*key).count().where("count > 1").select(*key, F.lit(True).alias("_again"))
+    columns = [F.col("_row")[c].alias(c) for c in docs.columns]
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    left = rows.join(gone, key, "left_anti")
+    if again.isEmpty():
+        return left.select(columns)
+    left = materialise(left.join(again, key, "left"), "repeated-rows")
+    once = left.where("_again").dropDuplicates(key)
+    return left.where("_again IS NULL").unionByName(once).select(columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
