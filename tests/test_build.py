@@ -1,3 +1,7 @@
+import threading
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +208,82 @@ def test_a_rental_counts_once_whatever_its_month(spark, journeys_of, tmp_path):
     assert got == {(1, 2): 2}
 
 
+def test_ten_deliveries_move_no_history_and_keep_files_few(spark, journeys_of, tmp_path):
+    target = increments.TripCounts(str(tmp_path / "counts"), buckets=3, fan=3)
+    files = []
+    for delivery in range(10):
+        # Each delivery repeats half of the one before.
+        rows = journeys_of([(i, 1, 2 + i % 2) for i in range(delivery * 10, delivery * 10 + 20)])
+        raw = to_journey_schema(rows.withColumn("start_date", rows.start_date.cast("timestamp")))
+        increments._apply_batch(target, raw, delivery)
+        paths = increments.current_parts(spark, target, "accepted")
+        files.append(sum(len(list(Path(p).glob("part-*"))) for p in paths))
+        assert sum(r.journey_count for r in increments.pair_counts(spark, target, 1).collect()) == (delivery + 2) * 10
+        totals = [increments.current_parts(spark, target, kind) for kind in ("pairs", "stations")]
+        assert [len(t) for t in totals] == [1, 1]
+    # At most fan - 1 generations of a level, so 2 + 2 + 2 here; and one file for each bucket.
+    assert max(files) <= 5 * 3 and len(paths) <= 5
+    kept = [p.name for p in Path(target.root, "accepted").iterdir()]
+    assert len(kept) <= len(paths) + 4  # those that the last state but one names
+    with increments._Buckets(spark, target) as buckets:
+        fresh = spark.createDataFrame([(3, False), (1000, False)], "id bigint, missing boolean").repartition(2)
+        new = increments.unseen(fresh, [buckets.read(p) for p in paths])
+        assert [r.id for r in new.collect()] == [1000]
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        final = plan[plan.index("Initial Plan") :]
+        # The fresh rows are dealt out once; no exchange, of whatever kind, stands over a generation.
+        assert final.count("Exchange hashpartitioning") == 1 and "Broadcast" not in final
+        assert final.count("FileScan parquet") == len(paths) == final.count("Bucketed: true")
+
+
+def test_a_batch_that_failed_is_done_anew(spark, journeys_of, tmp_path, monkeypatch):
+    target = increments.TripCounts(str(tmp_path / "counts"), buckets=2, fan=2)
+
+    def raw(ids):
+        rows = journeys_of([(i, 1, 2) for i in ids])
+        return to_journey_schema(rows.withColumn("start_date", rows.start_date.cast("timestamp")))
+
+    assert increments.pair_counts(spark, target, 1).count() == 0
+    increments._apply_batch(target, raw(range(5)), 0)
+    with monkeypatch.context() as m:
+        m.setattr(increments, "_merged", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            increments._apply_batch(target, raw(range(3, 9)), 1)
+    assert increments.station_counts(spark, target).where("station_id = 1").first().total_trips == 5
+    for _ in range(2):
+        increments._apply_batch(target, raw(range(3, 9)), 1)
+        assert increments.station_counts(spark, target).where("station_id = 1").first().total_trips == 9
+
+
+def test_steps_wait_for_what_they_need_and_for_nothing_else(spark, config):
+    store = tables.TableStore(spark, config.root)
+    steps = build.steps_of(store, config)
+    waits = {s.name: {steps[j].name for j in w} for s, w in zip(steps, build.waits_of(steps))}
+    assert waits["ingest_journeys"] == waits["ingest_accidents"] == waits["seeds.london_boroughs"] == set()
+    assert waits["check_raw"] == {"ingest_journeys", "ingest_accidents"}
+    assert waits["test_raw.uk_accidents"] == {"ingest_accidents"}
+    assert waits["spatial_layer.accidents_geo"] == {"ingest_accidents", "test_raw.uk_accidents"}
+    assert waits["marts.mart_temporal_safety"] == {"intermediate.int_temporal_hourly", "spatial_layer.monthly_accident_trend"}
+
+
+def test_parallel_and_single_runs_say_the_same(spark, config):
+    def told(parallel):
+        return [(r.step, r.ok, r.rows, r.message) for r in build.run(spark, replace(config, parallel=parallel)).collect()]
+
+    assert told(1) == told(6)
+
+
+def test_steps_run_at_the_same_time(spark, monkeypatch):
+    meet = threading.Barrier(3, timeout=60)
+    steps = [build.Step(f"s{i}", lambda: build.Outcome(meet.wait()), gives=(f"t{i}",)) for i in range(3)]
+    steps.append(build.Step("last", lambda: 1 / 0, needs=("t0", "t2"), gives=("t3",)))
+    steps.append(build.Step("held", lambda: build.Outcome(), needs=("t3",)))
+    monkeypatch.setattr(build, "steps_of", lambda *_: steps)
+    status = build.run(spark, build.BuildConfig(parallel=3)).collect()
+    assert [(r.step, r.ok) for r in status] == [("s0", True), ("s1", True), ("s2", True), ("last", False), ("held", False)]
+    assert status[4].message == "skipped: needs last"
+
+
 def test_command_line(spark, config, capsys):
     from velorisk.__main__ import main, parse
 

@@ -163,3 +163,65 @@ def test_grid_index_is_monotone(spark):
     rows = spark.range(2000).select((F.lit(-0.6) + F.col("id") * 0.0005).alias("lon")).select("lon", grid.column_of(F.col("lon")).alias("x"))
     xs = [r.x for r in rows.orderBy("lon").collect()]
     assert xs == sorted(xs)
+
+
+def test_crowded_cell_goes_to_many_tasks(spark, accidents_of):
+    """Half of the points stand in one place."""
+    rows = [(f"hot{i}", -0.1, 51.5, 3, 1) for i in range(1500)] + random_points(21, 1500)
+    points = accidents_of(rows).repartition(5)
+    sites = spark.createDataFrame(
+        [(i, "s", r[1], r[2]) for i, r in enumerate(random_points(22, 25))] + [(99, "s", -0.1005, 51.5005)],
+        "station_id bigint, station_name string, longitude double, latitude double",
+    )
+    segments = spark.createDataFrame(random_segments(23, 15) + [(500, 501, -0.11, 51.5, -0.09, 51.5)], SEGMENTS)
+
+    def pairs(df, key):
+        return sorted((r[key], r.accident_index) for r in df.collect())
+
+    for least in (50, 10**6):
+        assert pairs(spatial.radius_join(sites, points, how="inner", crowded=least), "station_id") == pairs(
+            sites.join(
+                points.withColumnsRenamed({"longitude": "x", "latitude": "y"}),
+                geo.haversine_m(F.col("longitude"), F.col("latitude"), F.col("x"), F.col("y")) <= C.BLACKSPOT_RADIUS_M,
+            ),
+            "station_id",
+        )
+    for join in (spatial.buffer_join, spatial.box_join):
+        extra = {"how": "inner"} if join is spatial.buffer_join else {}
+        assert pairs(join(segments, points, crowded=50, **extra), "station_a_id") == pairs(join(segments, points, crowded=10**6, **extra), "station_a_id")
+    grid = Grid.of_side(500.0)
+    placed = spatial._placed_points(points, grid)
+    heavy = spatial.crowded_cells(placed, 50).collect()
+    x, y = grid.column_of(F.lit(-0.1)), grid.row_of(F.lit(51.5))
+    hot = spark.range(1).select(x.alias("x"), y.alias("y")).first()
+    parts = {(r.cell_x, r.cell_y): r._parts for r in heavy}
+    assert parts[(hot.x, hot.y)] >= 8 and len(parts) <= 4 * 4 and sum(parts.values()) <= 8 * 4
+    part = F.pmod(F.xxhash64(*placed.columns), F.lit(parts[(hot.x, hot.y)]))
+    sizes = [r["count"] for r in placed.where((F.col("cell_x") == hot.x) & (F.col("cell_y") == hot.y)).groupBy(part).count().collect()]
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_shapes_without_points_are_found_without_the_pairs(spark, accidents_of):
+    points = accidents_of(random_points(31, 200))
+    segments = spark.createDataFrame(random_segments(32, 60), SEGMENTS)
+    left = spatial.buffer_join(segments, points, 60.0)
+    met = {r.station_a_id for r in spatial.buffer_join(segments, points, 60.0, how="inner").collect()}
+    lonely = [r.station_a_id for r in left.where("accident_index IS NULL").collect()]
+    assert sorted([*met, *lonely]) == sorted(r.station_a_id for r in segments.collect()) and met and lonely
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("k", [1, 4, 500])
+def test_nearest_points_equal_brute_force(spark, accidents_of, k):
+    rows = random_points(41, 250) + [(f"same{i}", -0.1, 51.5, 1, 1) for i in range(6)]
+    points = accidents_of(rows)
+    segments = spark.createDataFrame(random_segments(42, 25) + [(900, 901, -0.1, 51.5, -0.1, 51.5)], SEGMENTS)
+    distance = geo.segment_distance_m(*(F.col(c) for c in ("longitude", "latitude", "lon_a", "lat_a", "lon_b", "lat_b")))
+    every = segments.join(points, distance <= 1000).select("station_a_id", "accident_index", distance.alias("d")).collect()
+    want = []
+    for a in {r.station_a_id for r in every}:
+        mine = sorted((r.d, r.accident_index) for r in every if r.station_a_id == a)[:k]
+        want += [(a, place, index) for place, (_, index) in enumerate(mine, 1)]
+    found = spatial.nearest_points(segments, points, k, "accident_index", first_m=30.0, most_m=1000.0).collect()
+    assert sorted((r.station_a_id, r.place, r.accident_index) for r in found) == sorted(want)

@@ -29,6 +29,7 @@ def parse(arguments: list[str]) -> tuple[BuildConfig, str | None]:
     parser.add_argument("--select", default="", help="a layer or a model to rebuild")
     parser.add_argument("--radius-m", type=float, default=C.BLACKSPOT_RADIUS_M)
     parser.add_argument("--min-journeys", type=int, default=C.MIN_CORRIDOR_JOURNEYS)
+    parser.add_argument("--parallel", type=int, default=4, help="steps that run at a time")
     parser.add_argument("--near", choices=["buffer", "box"], default="buffer")
     parser.add_argument("--join-on", choices=["id", "name"], default="id")
     parser.add_argument("--day-first-times", action="store_true", help="read dd/MM/yyyy HH:mm too")
@@ -67,6 +68,7 @@ def parse(arguments: list[str]) -> tuple[BuildConfig, str | None]:
         length=args.length,
         quantiles=args.quantiles,
         round_first=args.round_first,
+        parallel=args.parallel,
     )
     return config, args.master
 

@@ -89,6 +89,37 @@ def _within(radius_m: float, metric: str) -> Column:
 # ---------------------------------------------------------------- pairs
 
 
+# Points in a cell beyond which a pair join deals them to several tasks. It affects speed only.
+CROWDED_PAIRS = 20_000
+
+
+def crowded_cells(placed: DataFrame, least: int) -> DataFrame:
+    """Cells with more than ``least`` points that one task should not meet alone, and into how many parts (``_parts``) they go.
+
+    The fullest ones, four for each shuffle partition, so that the table can be broadcast
+    whatever the number of points: no other cell holds more than a quarter of a task's even
+    share. Their parts are in proportion to their points, eight for each partition in all.
+    """
+    most = 4 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = placed.groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("_points"))
+    fullest = counted.where(F.col("_points") > least).orderBy(F.desc("_points"), "cell_x", "cell_y").limit(most)
+    everything = F.sum("_points").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    parts = F.least(F.ceil(F.col("_points") / least), F.ceil(F.col("_points") * most / everything))
+    return fullest.select("cell_x", "cell_y", parts.cast("int").alias("_parts"))
+
+
+def _pairs_in_cells(cover: DataFrame, placed: DataFrame, is_hit: Column, crowded: int) -> DataFrame:
+    """Shapes with the points of their cells that pass the test. A crowded cell's points are dealt to several tasks by a
+    hash of their row, and the shapes over it go to each of these."""
+    heavy = F.broadcast(crowded_cells(placed.select("cell_x", "cell_y"), crowded))
+    cell = ["cell_x", "cell_y"]
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = placed.withColumn("_row", F.xxhash64(*placed.columns)).join(heavy, cell, "left")
+    dealt = dealt.withColumn("_part", F.pmod("_row", parts).cast("int")).drop("_row", "_parts")
+    copied = cover.join(heavy, cell, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return _shuffled(copied).join(dealt, [*cell, "_part"]).where(is_hit).drop(*cell, "_part")
+
+
 def radius_join(
     sites: DataFrame,
     points: DataFrame,
@@ -96,6 +127,7 @@ def radius_join(
     metric: str = "great_circle",
     site_key: str = "station_id",
     how: str = "left",
+    crowded: int = CROWDED_PAIRS,
 ) -> DataFrame:
     """Points within ``radius_m`` of each site; a left join keeps sites without any.
 
@@ -104,26 +136,30 @@ def radius_join(
     """
     grid = Grid.of_side(radius_m)
     distance = METRICS[metric](F.col("longitude"), F.col("latitude"), F.col("point_lon"), F.col("point_lat"))
+    cover = disc_cells(_site_side(sites, metric, site_key), grid, radius_m, metric)
+    placed = _point_side(_placed_points(points, grid), metric)
     pairs = (
-        _shuffled(disc_cells(_site_side(sites, metric, site_key), grid, radius_m, metric))
-        .join(_point_side(_placed_points(points, grid), metric), ["cell_x", "cell_y"])
-        .where(_within(radius_m, metric))
-        .drop("cell_x", "cell_y", "whole", "_cos_site", *_SITE_VECTOR, *_POINT_VECTOR)
+        _pairs_in_cells(cover, placed, _within(radius_m, metric), crowded)
+        .drop("whole", "_cos_site", *_SITE_VECTOR, *_POINT_VECTOR)
         .withColumn("distance_m", distance)
     )
     if how == "inner":
         return pairs
-    return _with_lonely(sites, pairs, [site_key])
+    return _with_lonely(sites, pairs, _reached(cover, placed, _within(radius_m, metric), [site_key]), [site_key])
 
 
-def _with_lonely(shapes: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The pairs, and every shape without any.
+def _reached(cover: DataFrame, placed: DataFrame, is_hit: Column, keys: Sequence[str]) -> DataFrame:
+    """Keys of the shapes with a point, more than once. No pair is formed: a cell inside a shape answers with its first
+    point, a cell on the edge with the first that passes the test."""
+    points = placed.withColumnsRenamed({"cell_x": "_point_x", "cell_y": "_point_y"})
+    here = (F.col("cell_x") == F.col("_point_x")) & (F.col("cell_y") == F.col("_point_y"))
+    return _shuffled(cover).join(points, here & (F.col("whole") | is_hit), "left_semi").select(*keys)
 
-    The pairs are stored, so that the distance join runs once; only keys go into
-    the second join, and a busy shape's collapse to one on the map side.
-    """
-    pairs = materialise(pairs, "pairs")
-    lonely = shapes.join(pairs.select(*keys).distinct(), list(keys), "left_anti")
+
+def _with_lonely(shapes: DataFrame, pairs: DataFrame, reached: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The pairs, and every shape that is not ``reached``."""
+    # A shape's cells collapse to one key on the map side.
+    lonely = shapes.join(reached.distinct().hint("merge"), list(keys), "left_anti")
     return pairs.unionByName(lonely, allowMissingColumns=True)
 
 
@@ -132,16 +168,13 @@ def box_join(
     points: DataFrame,
     pad_deg: float = C.CORRIDOR_PAD_DEG,
     segment_keys: Sequence[str] = ("station_a_id", "station_b_id"),
+    crowded: int = CROWDED_PAIRS,
 ) -> DataFrame:
     """Points inside the bounding box of each segment, widened by ``pad_deg``."""
     grid = Grid.of_side(500.0)
     west, east, south, north = padded_box(pad_deg)
-    return (
-        _shuffled(box_cells(spread(segments, *segment_keys), grid, pad_deg))
-        .join(_placed_points(points, grid), ["cell_x", "cell_y"])
-        .where(F.col("point_lon").between(west, east) & F.col("point_lat").between(south, north))
-        .drop("cell_x", "cell_y")
-    )
+    inside = F.col("point_lon").between(west, east) & F.col("point_lat").between(south, north)
+    return _pairs_in_cells(box_cells(spread(segments, *segment_keys), grid, pad_deg), _placed_points(points, grid), inside, crowded)
 
 
 def buffer_join(
@@ -150,20 +183,56 @@ def buffer_join(
     buffer_m: float = C.CORRIDOR_BUFFER_M,
     segment_keys: Sequence[str] = ("station_a_id", "station_b_id"),
     how: str = "left",
+    crowded: int = CROWDED_PAIRS,
 ) -> DataFrame:
     """Points within ``buffer_m`` of each segment A–B."""
     grid = Grid.of_side(buffer_m)
     gap = gap_to_segment(F.col("point_lon"), F.col("point_lat"))
-    pairs = (
-        _shuffled(capsule_cells(with_plane(spread(segments, *segment_keys)), grid, buffer_m))
-        .join(_placed_points(points, grid), ["cell_x", "cell_y"])
-        .where(gap <= F.lit(float(buffer_m) ** 2))
-        .withColumn("distance_m", F.sqrt(gap))
-        .drop("cell_x", "cell_y", "whole", *PLANE)
-    )
+    near = gap <= F.lit(float(buffer_m) ** 2)
+    cover = capsule_cells(with_plane(spread(segments, *segment_keys)), grid, buffer_m)
+    placed = _placed_points(points, grid)
+    pairs = _pairs_in_cells(cover, placed, near, crowded).withColumn("distance_m", F.sqrt(gap)).drop("whole", *PLANE)
     if how == "inner":
         return pairs
-    return _with_lonely(segments, pairs, list(segment_keys))
+    return _with_lonely(segments, pairs, _reached(cover, placed, near, segment_keys), segment_keys)
+
+
+def nearest_points(
+    segments: DataFrame,
+    points: DataFrame,
+    k: int,
+    point_key: str,
+    first_m: float = 50.0,
+    most_m: float = 1600.0,
+    segment_keys: Sequence[str] = ("station_a_id", "station_b_id"),
+) -> DataFrame:
+    """The ``k`` points nearest to each segment A–B within ``most_m``, with ``distance_m`` and ``place`` from 1.
+
+    Of equal distances the smaller ``point_key`` comes first; a segment with fewer points
+    in reach has fewer rows. The reach is doubled, from ``first_m`` on, for the segments
+    that have not found ``k`` points, which is counted without forming pairs. So a segment
+    meets few points beyond those it keeps, and the result has at most ``k`` rows for each.
+    """
+    keys, reach, waiting, found = list(segment_keys), min(first_m, most_m), segments, []
+    by_distance = Window.partitionBy(*keys).orderBy("distance_m", point_key)
+    while True:
+        last = reach >= most_m
+        if last:
+            ready = waiting
+        else:
+            counted = buffer_totals(waiting, points, {"_found": F.lit(1).cast("bigint")}, reach, keys)
+            counted = materialise(waiting.join(counted, keys, "left"), "reach")
+            ready = counted.where(F.col("_found") >= k).drop("_found")
+            waiting = counted.where(F.coalesce("_found", F.lit(0)) < k).drop("_found")
+        pairs = buffer_join(ready, points, reach, keys, how="inner")
+        found.append(pairs.withColumn("place", F.row_number().over(by_distance)).where(F.col("place") <= k))
+        if last or waiting.isEmpty():
+            break
+        reach = min(reach * 2, most_m)
+    together = found[0]
+    for part in found[1:]:
+        together = together.unionByName(part)
+    return together
 
 
 # ---------------------------------------------------------------- totals

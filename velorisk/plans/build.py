@@ -2,6 +2,7 @@
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ class BuildConfig:
     Without ``n_files`` and ``years`` every file and every year is taken. With
     ``on_failed_test="skip"`` a raw table that fails a test of severity error holds
     back what is built on it; ``"continue"`` builds all the same, and the run still
-    counts as failed.
+    counts as failed. Up to ``parallel`` steps run at a time.
     """
 
     root: str | None = None
@@ -49,6 +50,7 @@ class BuildConfig:
     length: str = "great_circle"
     quantiles: str = "exact"
     round_first: bool = False
+    parallel: int = 4
 
 
 def backfill(config: BuildConfig) -> BuildConfig:
@@ -273,12 +275,13 @@ def build_model(store: TableStore, model: Model, config: BuildConfig) -> Outcome
 
 @dataclass(frozen=True)
 class Step:
-    """An action, the tables it needs, and those that are stale if it fails."""
+    """An action, the tables it needs, those that are stale if it fails, and steps to wait for besides."""
 
     name: str
     action: Callable[[], Outcome]
     needs: tuple[str, ...] = ()
     gives: tuple[str, ...] = ()
+    after: tuple[str, ...] = ()
 
 
 def steps_of(store: TableStore, config: BuildConfig) -> list[Step]:
@@ -291,7 +294,7 @@ def steps_of(store: TableStore, config: BuildConfig) -> list[Step]:
         if (config.accident_paths or config.casualty_paths or config.vehicle_paths) and not config.skip_accidents:
             gives = (f"{RAW}.uk_accidents",)
             steps.append(Step("ingest_accidents", lambda: ingest_accidents(store, config), gives=gives))
-    steps.append(Step("check_raw", lambda: check_raw(store)))
+    steps.append(Step("check_raw", lambda: check_raw(store), after=tuple(s.name for s in steps)))
     steps.append(Step(f"{SEEDS}.london_boroughs", lambda: load_seed(store)))
     for table in RAW_TESTS:
         name = f"{RAW}.{table}"
@@ -305,18 +308,29 @@ def steps_of(store: TableStore, config: BuildConfig) -> list[Step]:
     return steps
 
 
+def waits_of(steps: Sequence[Step]) -> list[set[int]]:
+    """For each step the earlier ones that it waits for: those that give a table it needs or gives, and those it names."""
+    waits = []
+    for i, step in enumerate(steps):
+        tables = {*step.needs, *step.gives}
+        waits.append({j for j, other in enumerate(steps[:i]) if tables & set(other.gives) or other.name in step.after})
+    return waits
+
+
 def run(spark: SparkSession, config: BuildConfig) -> DataFrame:
-    """Run every step in order and return one status row for each.
+    """Run every step and return one status row for each, in their order.
 
-    A failed step does not stop the others, but those that need what it should
-    have made are skipped, and their rows say so: a table of an earlier run is
-    never taken for a new one. :func:`succeeded` tells whether the run as a whole
-    is good.
+    A step starts once all that it waits for have ended; several run at a time, so that
+    small jobs don't leave a cluster idle. A failed step does not stop the others, but
+    those that need what it should have made are skipped, and their rows say so: a table
+    of an earlier run is never taken for a new one. :func:`succeeded` tells whether the
+    run as a whole is good.
     """
     store = TableStore(spark, config.root)
-    stale: dict[str, str] = {}
-    status = []
-    for step in steps_of(store, config):
+    steps = steps_of(store, config)
+    waits, status, stale = waits_of(steps), {}, {}
+
+    def attempt(step: Step) -> tuple:
         began = time.monotonic()
         missing = sorted({stale[t] for t in step.needs if t in stale})
         if missing:
@@ -327,10 +341,22 @@ def run(spark: SparkSession, config: BuildConfig) -> DataFrame:
                 rows, ok, message = outcome.rows, True, outcome.message
             except Exception as error:  # noqa: BLE001 - any failure becomes a status row
                 rows, ok, message = None, False, f"{type(error).__name__}: {error}".splitlines()[0]
-        if not ok:
-            stale |= {t: step.name for t in step.gives}
-        status.append((step.name, ok, rows, time.monotonic() - began, message))
-    return spark.createDataFrame(status, STATUS_SCHEMA)
+        return step.name, ok, rows, time.monotonic() - began, message
+
+    with ThreadPoolExecutor(max(1, config.parallel)) as pool:
+        running: dict[Future, int] = {}
+        begun: set[int] = set()
+        while len(status) < len(steps):
+            for i, step in enumerate(steps):
+                if i not in begun and waits[i] <= status.keys():
+                    begun.add(i)
+                    running[pool.submit(attempt, step)] = i
+            for ended in wait(running, return_when=FIRST_COMPLETED).done:
+                i = running.pop(ended)
+                status[i] = ended.result()
+                if not status[i][1]:
+                    stale |= {t: steps[i].name for t in steps[i].gives}
+    return spark.createDataFrame([status[i] for i in range(len(steps))], STATUS_SCHEMA)
 
 
 def succeeded(status: DataFrame) -> bool:

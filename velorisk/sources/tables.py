@@ -25,8 +25,8 @@ class TableStore:
     def replace(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Replace a table and return its row count, observed during the write itself.
 
-        Below a root the new table is written beside the old one and takes its
-        place when it is complete, so a job that dies leaves the old one.
+        The new table is written beside the old one, as a folder or as a catalog table,
+        and takes its place when it is complete, so a job that dies leaves the old one.
         """
         counted = Observation()
         writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
@@ -42,9 +42,50 @@ class TableStore:
             self._swap(fresh, self._path(layer, name))
         else:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            writer.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
+            self._recover(layer, name)
+            fresh = f"{name}__fresh_{uuid.uuid4().hex}"
+            # A table gets its entry in the catalog after its last row, so one with an entry is whole.
+            writer.format("parquet").saveAsTable(f"{layer}.{fresh}")
+            self._put_in_place(layer, name, fresh)
         return counted.get["rows"]
 
+    def _put_in_place(self, layer: str, name: str, fresh: str) -> None:
+        """Two renames in the catalog; :meth:`_recover` finishes a swap as long as ``__old`` stands there."""
+        if self.spark.catalog.tableExists(f"{layer}.{name}"):
+            self.spark.sql(f"ALTER TABLE {layer}.{name} RENAME TO {layer}.{name}__old")
+        self._rename(layer, fresh, name)
+        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}__old")
+
+    def _rename(self, layer: str, fresh: str, name: str) -> None:
+        self.spark.sql(f"ALTER TABLE {layer}.{fresh} RENAME TO {layer}.{name}")
+        self._find_partitions(layer, name)
+
+    def _find_partitions(self, layer: str, name: str) -> None:
+        """Renaming moves the folder, but partitions are listed under their old paths."""
+        if any(c.isPartition for c in self.spark.catalog.listColumns(f"{layer}.{name}")):
+            self.spark.sql(f"MSCK REPAIR TABLE {layer}.{name} SYNC PARTITIONS")
+
+    def _recover(self, layer: str, name: str) -> None:
+        """Finish a swap that was cut short, and drop what it or a failed one left.
+
+        Every table with an entry is whole: if the name is free, the new table takes it, else the old one comes back.
+        A store expects no other writer of the same table.
+        """
+        if not self.spark.catalog.databaseExists(layer):
+            return
+        found = self.spark.sql(f"SHOW TABLES IN {layer} LIKE '{name}__*'").collect()
+        left = sorted(r.tableName for r in found if r.tableName == f"{name}__old" or r.tableName.startswith(f"{name}__fresh_"))
+        if not left:
+            return
+        if self.spark.catalog.tableExists(f"{layer}.{name}"):
+            self._find_partitions(layer, name)
+        elif left:
+            # The new one sorts before the old one.
+            self._rename(layer, left[0], name)
+            left = left[1:]
+        for table in left:
+            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+
     def _hadoop(self, path: str):
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -76,12 +117,14 @@ class TableStore:
             return self._views[(layer, name)]
         if self.root:
             return self.spark.read.parquet(self._path(layer, name))
+        self._recover(layer, name)
         return self.spark.table(f"{layer}.{name}")
 
     def exists(self, layer: str, name: str) -> bool:
         if (layer, name) in self._views:
             return True
         if not self.root:
+            self._recover(layer, name)
             return self.spark.catalog.tableExists(f"{layer}.{name}")
         try:
             self.read(layer, name)
