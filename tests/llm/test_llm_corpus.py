@@ -275,26 +275,39 @@ def test_rare_domain_reaches_its_target(spark):
     assert fit.reached == pytest.approx([0.02, 0.98], abs=1e-5) and np.abs(fit.residual).max() < 1e-5
 
 
-@pytest.mark.parametrize("target", [(0.97, 0.01, 0.01, 0.01), (0.5, 0.5, 0.0, 0.0), (0.25, 0.25, 0.25, 0.25), (0.4, 0.6), (0.999, 0.001)])
-def test_rates_meet_the_conditions_of_least_squares(spark, target):
-    """Nonnegative rates are the best ones if no document's gradient is below 0, and it is 0 wherever the rate isn't."""
-    rng, k = np.random.default_rng(17), len(target)
-    p = rng.dirichlet([0.6] * k, 300)
-    p[:, 0] = np.minimum(p[:, 0], 0.6)  # a target of nearly all tokens in the first domain can't be met
-    p /= p.sum(1, keepdims=True)
-    t = rng.exponential(1, 300)
-    t /= t.sum()
+def soft_members(k, n=300):
+    rng = np.random.default_rng(17)
+    p = rng.dirichlet([0.6] * k, n)
+    p[:, 0] = np.minimum(p[:, 0], 0.6)  # a mixture of nearly all tokens from the first domain is out of reach
+    t = rng.exponential(1, n)
+    return p / p.sum(1, keepdims=True), t / t.sum()
+
+
+def plain_totals(p, t, target, rounds=50_000):
+    """Plain projected gradient over all rates at once, with the safe step of the whole matrix."""
+    a = (np.sqrt(t)[:, None] * p).T
+    bound, u = np.linalg.eigvalsh(a @ a.T)[-1], np.sqrt(t)
+    for _ in range(rounds):
+        u = np.maximum(0, u - a.T @ (a @ u - target) / bound)
+    return a @ u
+
+
+@pytest.mark.parametrize(
+    "target,rounds,within",
+    [((0.25, 0.25, 0.25, 0.25), 60, 1e-4), ((0.4, 0.6), 60, 1e-4), ((0.97, 0.01, 0.01, 0.01), 30, 0.12), ((0.999, 0.001), 30, 0.08)],
+)
+def test_rates_approach_those_of_a_plain_solver(spark, target, rounds, within):
+    k, target = len(target), np.array(target)
+    p, t = soft_members(k)
     rows = spark.createDataFrame([(float(x), *map(float, y)) for x, y in zip(t, p)], "t double, " + ", ".join(f"p{i} double" for i in range(k)))
-    fit = mixing.fit_rates(rows, np.array(target))
+    fit = mixing.fit_rates(rows, target, rounds=rounds)
     lists = rows.withColumn("posterior", F.array(*[f"p{i}" for i in range(k)]))
     w = np.array([r.rate for r in lists.select(mixing.rate_of(F.col("posterior"), fit).alias("rate")).collect()])
-    reached = (w * t) @ p
-    np.testing.assert_allclose(fit.reached, reached, atol=1e-9)  # what is told is what the rates give
-    gradient = p @ (reached - np.array(target))
-    assert w.min() >= 0 and gradient.min() > -1e-4 and np.abs(w * t * gradient).sum() < 1e-4
-    # A few rounds more or less don't matter once it has ended.
-    again = mixing.fit_rates(rows, np.array(target), rounds=len(fit.steps) + 1)
-    np.testing.assert_allclose(again.reached, fit.reached, atol=1e-3)
+    assert w.min() >= 0
+    np.testing.assert_allclose(np.sort(fit.reached), np.sort((w * t) @ p), atol=1e-9)  # what is told is what the rates give
+    np.testing.assert_allclose(fit.residual, fit.reached - target)
+    np.testing.assert_allclose(fit.reached, plain_totals(p, t, target), atol=within)
+    assert np.square(fit.residual).sum() < np.square(t @ p - target).sum()
 
 
 def test_awkward_mixing(awkward, nothing, no_labels):
