@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Names and types of the raw columns.
 JOURNEYS = T.StructType(
     [
         T.StructField("rental_id", T.LongType()),
@@ -85,6 +86,7 @@ JOURNEY_HEADERS = {
     "Total duration (ms)": "duration_ms",
 }
 
+# Columns that a journey file must have.
 REQUIRED_JOURNEY_COLUMNS = {
     "rental_id",
     "duration_seconds",
@@ -97,7 +99,7 @@ REQUIRED_JOURNEY_COLUMNS = {
     "end_station_name",
 }
 
-# New name of a collision column and the older names that stand in for it, best first.
+# New name of a collision column and the older names that stand in for it, best first.
 COLLISION_RENAMES = [
     ("collision_index", ["accident_reference", "accident_index"]),
     ("collision_severity", ["accident_severity"]),
