@@ -884,6 +884,12 @@ add(
     ),
 )
 add("dq5_missing_tables", "SELECT unnest(['uk_accidents', 'tfl_journeys']) AS table_name FROM (SELECT count(*) FROM raw_stations)")
+add(
+    "dq5_layout",
+    """SELECT 'tfl_stations' AS table_name, TRUE AS is_there, '' AS missing_columns, count(*) AS n_rows FROM raw_stations
+       UNION ALL SELECT 'uk_accidents', TRUE, 'collision_severity,latitude', count(*) FROM raw_accidents
+       UNION ALL SELECT 'tfl_journeys', FALSE, 'rental_id', NULL""",
+)
 add(
     "dq_all_checks_on_raw",
     " UNION ALL ".join(

@@ -736,9 +736,8 @@ def agg11_sketches_of_years(spark, sf):
 
 @query
 def agg12_record_counts(spark, sf):
-    store = _store_with_raw(spark, sf)
-    names = {"journeys": "tfl_journeys", "stations": "tfl_stations", "accidents": "uk_accidents", "casualties": "uk_casualties"}
-    return serving.record_counts(store, names)
+    tables = {"journeys": derived.journeys(spark, sf), "stations": derived.stations(spark, sf), "accidents": derived.accidents(spark, sf)}
+    return serving.counts_of(spark, tables | {"casualties": None})
 
 
 @query
@@ -1148,6 +1147,17 @@ def dq5_missing_tables(spark, sf):
     return quality.missing_tables(store, "raw", build.REQUIRED_RAW)
 
 
+@query
+def dq5_layout(spark, sf):
+    """Stations whole, accidents without two columns, no journeys."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    accidents = derived.accidents(spark, sf)
+    expected = {"tfl_stations": derived.stations(spark, sf).columns, "uk_accidents": accidents.columns, "tfl_journeys": ["rental_id"]}
+    store.replace("raw", "tfl_stations", derived.stations(spark, sf))
+    store.replace("raw", "uk_accidents", accidents.drop("latitude", "collision_severity"))
+    return quality.check_layout(store, "raw", expected)
+
+
 @query
 def dq_all_checks_on_raw(spark, sf):
     parts = [

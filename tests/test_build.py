@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from velorisk import schemas
-from velorisk.operators import quality
+from velorisk.operators import quality, serving
 from velorisk.plans import build, marts
 from velorisk.session import materialise, shared_root
 from velorisk.sources import tables
@@ -160,6 +160,10 @@ def test_store(spark, store):
     assert store.read("raw", "t").count() == 2
     assert store.missing("raw", ["t", "u"]) == ["u"]
     assert [r.table_name for r in quality.missing_tables(store, "raw", ["t", "u"]).collect()] == ["u"]
+    layout = quality.check_layout(store, "raw", {"t": ["k", "z", "a"], "u": ["b", "a"]})
+    assert sorted(map(tuple, layout.collect())) == [("t", True, "a,z", 2), ("u", False, "a,b", None)]
+    counts = serving.record_counts(store, {"things": "t", "others": "u"})
+    assert sorted(map(tuple, counts.collect())) == [("others", None), ("things", 2)]
     assert tables.materialise_model(store, tables.STAGING, "v", df) is None
     assert spark.table("staging_v").count() == 5 and store.exists(tables.STAGING, "v")
 

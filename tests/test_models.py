@@ -274,3 +274,16 @@ def test_quality_counts(spark):
     bad = spark.createDataFrame([("a", 1), ("b", 4), ("c", None)], "collision_index string, collision_severity int")
     got = {r.check_name: r.n_failing for r in quality.check_collisions(bad).collect()}
     assert got["accepted_values:collision_severity"] == 1
+
+
+def test_table_checks_read_it_once(spark, tmp_path):
+    rows = [(k if k else None, k % 7 if k % 5 else None) for k in [*range(40), *range(10), 0, 0]]
+    schema = "rental_id bigint, start_station_id int"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/t")
+    checks = [quality.not_null("rental_id"), quality.not_null("start_station_id", "warn")]
+    for df in (spark.read.parquet(f"{tmp_path}/t"), spark.createDataFrame([], schema)):
+        got = quality.check_table(df, checks, "rental_id")
+        apart = quality.check_rows(df, checks).unionByName(quality.unique(df, "rental_id"))
+        assert sorted(got.collect()) == sorted(apart.collect())
+    plan = quality.check_table(spark.read.parquet(f"{tmp_path}/t"), checks, "rental_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velorisk import constants as C
@@ -175,12 +175,17 @@ def category_counts(corridors: DataFrame) -> DataFrame:
 
 def record_counts(store: TableStore, tables: dict[str, str]) -> DataFrame:
     """Rows of each raw table under its display name; null for a table that does not exist."""
+    return counts_of(store.spark, {label: store.read(RAW, t) if store.exists(RAW, t) else None for label, t in tables.items()})
+
+
+def counts_of(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:
+    """Rows of each table under its display name, null for none; no column is read."""
     combined = None
     for label, table in tables.items():
-        if store.exists(RAW, table):
-            row = store.read(RAW, table).agg(F.count(F.lit(1)).alias("rows"))
+        if table is None:
+            row = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
         else:
-            row = store.spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
+            row = table.agg(F.count(F.lit(1)).alias("rows"))
         row = row.select(F.lit(label).alias("table_name"), "rows")
         combined = row if combined is None else combined.unionByName(row)
     return combined

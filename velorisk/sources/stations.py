@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from velorisk import schemas
 from velorisk.functions.geo import in_box
+from velorisk.session import materialise
 
 
 def stations_from_journeys(journeys: DataFrame) -> DataFrame:
@@ -64,5 +65,9 @@ def read_station_feed(spark: SparkSession, path: str, multi_line: bool = True) -
 
 
 def stations_or_feed(stations: DataFrame, feed: DataFrame) -> DataFrame:
-    """The stations met in the journeys or, if there are none, those of the feed."""
-    return feed if stations.isEmpty() else stations
+    """The stations met in the journeys or, if there are none, those of the feed.
+
+    The stations are stored, one row each, so the journeys behind them are read once.
+    """
+    met = materialise(stations, "stations-met")
+    return feed if met.isEmpty() else met
