@@ -93,6 +93,7 @@ def main() -> None:
     for name, entry in entries(spark, FOLDER).items():
         seconds_of(entry)
         seconds[name] = round(min(seconds_of(entry) for _ in range(2)), 3)
+        print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
