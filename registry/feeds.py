@@ -1,5 +1,7 @@
 """Feed files that Spark writes from the given tables, for the queries on file readers."""
 
+import re
+
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,20 +47,26 @@ def named_journey_files(spark: SparkSession, folder: str) -> list[str]:
     paths = []
     for number, part, key in vintages(spark, folder):
         quarter = F.col(key) % 4
-        # One file per quarter: its rows meet in one task.
-        part.withColumn("quarter", quarter).repartition(4, "quarter").write.partitionBy("quarter").option(
-            "header", True
-        ).option("escape", '"').csv(f"{root}/{number}")
-        for k in range(4):
-            found = system.get_file_info(fs.FileSelector(f"{place}/{number}/quarter={k}", allow_not_found=True))
-            for file in (f for f in found if f.base_name.endswith(".csv") and f.base_name[0] not in "._"):
-                name = f"{number}JourneyDataExtract{k}.csv"
+        # One file per quarter, written by the one task that gets its rows, as they come: a write by partition
+        # columns would sort them first, and hold them in memory for it.
+        dealt = part.where(quarter.between(0, 3)).repartitionById(4, quarter.cast("int"))
+        dealt.write.option("header", True).option("escape", '"').csv(f"{root}/{number}")
+        for file in sorted(system.get_file_info(fs.FileSelector(f"{place}/{number}")), key=lambda f: f.base_name):
+            numbered = re.match(r"part-(\d+)-.*\.csv$", file.base_name)
+            if numbered and _has_rows(system, file.path):
+                name = f"{number}JourneyDataExtract{int(numbered[1])}.csv"
                 system.create_dir(f"{place}/named")
                 system.move(file.path, f"{place}/named/{name}")
                 paths.append(f"{root}/named/{name}")
     return paths
 
 
+def _has_rows(system: fs.FileSystem, path: str) -> bool:
+    """Whether a line follows the header: the first task writes its file even without rows."""
+    with system.open_input_stream(path) as file:
+        return bool(file.read(4096).partition(b"\n")[2])
+
+
 def folder_of(paths: list[str]) -> str:
     return paths[0].rpartition("/")[0]
 

@@ -191,3 +191,36 @@ def test_boroughs(spark):
     assert df.count() == 33
     assert {r.region: r["count"] for r in df.groupBy("region").count().collect()} == {"Inner London": 15, "Outer London": 18}
     assert boroughs.read_boroughs(spark, str(boroughs.BOROUGH_FILE)).count() == 33
+
+
+def test_named_feed_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A write by partition columns sorts its rows first; each task writes one quarter as it comes."""
+    from registry import feeds
+
+    from pyspark.sql import DataFrameWriter
+
+    rows = spark.range(400).select(
+        (F.col("id") * 7).alias("l_orderkey"),
+        (F.col("id") % 5 + 1).cast("int").alias("l_linenumber"),
+        F.lit(3).cast("bigint").alias("l_partkey"),
+        (F.col("id") % 9).alias("l_suppkey"),
+        F.lit(600.4).alias("l_extendedprice"),
+        F.lit("R").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"),
+        F.lit("1996-05-01 00:00:00").cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.delattr(DataFrameWriter, "partitionBy")
+    paths = feeds.named_journey_files(spark, str(tmp_path))
+    ids = [r[0] for r in rows.selectExpr("l_orderkey * 8 + l_linenumber").collect()]
+    expected = {}
+    for i in ids:
+        name = f"{500 + i % 3}JourneyDataExtract{i % 4}.csv"
+        expected.setdefault(name, []).append(i)
+    found = {}
+    for path in paths:
+        frame = spark.read.option("header", True).csv(path)
+        column = next(c for c in frame.columns if c in ("Rental Id", "rental_id", "Number"))
+        found[path.rpartition("/")[2]] = sorted(int(r[0]) for r in frame.select(F.col(f"`{column}`")).collect())
+    assert found == {name: sorted(some) for name, some in expected.items()}
+    assert {path.rpartition("/")[0] for path in paths} == {feeds.folder_of(paths)}
