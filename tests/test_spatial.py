@@ -225,3 +225,18 @@ def test_nearest_points_equal_brute_force(spark, accidents_of, k):
         want += [(a, place, index) for place, (_, index) in enumerate(mine, 1)]
     found = spatial.nearest_points(segments, points, k, "accident_index", first_m=30.0, most_m=1000.0).collect()
     assert sorted((r.station_a_id, r.place, r.accident_index) for r in found) == sorted(want)
+
+
+def test_cells_of_a_capsule_are_whole_if_their_corners_are_inside(spark):
+    segments = spark.createDataFrame(random_segments(51, 30), SEGMENTS)
+    grid = Grid.of_side(50.0)
+    cells = spatial.capsule_cells(spatial.with_plane(segments), grid, 200.0)
+    corners = []
+    for x in (0, 1):
+        for y in (0, 1):
+            lon, lat = grid.origin_lon + (F.col("cell_x") + x) * grid.step_lon, grid.origin_lat + (F.col("cell_y") + y) * grid.step_lat
+            corners.append(F.sqrt(spatial.gap_to_segment(lon, lat)))
+    told = cells.select("whole", F.greatest(*corners).alias("far")).collect()
+    assert all(r.far <= 200.0 for r in told if r.whole)
+    assert all(r.whole for r in told if r.far <= 200.0 * 0.995)
+    assert any(r.whole for r in told) and not all(r.whole for r in told)
