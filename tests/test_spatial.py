@@ -240,3 +240,25 @@ def test_cells_of_a_capsule_are_whole_if_their_corners_are_inside(spark):
     assert all(r.far <= 200.0 for r in told if r.whole)
     assert all(r.whole for r in told if r.far <= 200.0 * 0.995)
     assert any(r.whole for r in told) and not all(r.whole for r in told)
+
+
+@pytest.mark.parametrize("buffer_m", [0.5, 5.0])
+def test_narrow_buffer_crosses_few_cells(spark, accidents_of, counts, monkeypatch, buffer_m):
+    ends = [(-0.12, 51.48, -0.08, 51.52), (-0.08, 51.5, -0.12, 51.5), (-0.1, 51.52, -0.1, 51.48)]
+    segments = spark.createDataFrame([(i, i + 1, *e) for i, e in enumerate(ends)], SEGMENTS)
+    rng, rows = random.Random(52), []
+    for i in range(300):
+        a, share = ends[i % 3], rng.random()
+        aside = rng.uniform(-8, 8) / C.METRES_PER_DEGREE
+        rows.append((f"p{i}", a[0] + share * (a[2] - a[0]) + aside, a[1] + share * (a[3] - a[1]) + aside, 1 + i % 3, 1))
+    points, covers, make = accidents_of(rows), [], spatial.capsule_cells
+    monkeypatch.setattr(spatial, "capsule_cells", lambda *a: covers.append(make(*a)) or covers[-1])
+    near = geo.segment_distance_m(*(F.col(c) for c in ("longitude", "latitude", "lon_a", "lat_a", "lon_b", "lat_b"))) <= buffer_m
+    brute = segments.join(points, near)
+    wanted = {tuple(r) for r in brute.groupBy("station_a_id", "station_b_id").agg(F.count("*"), F.sum("accident_severity")).collect()}
+    for crowded in (2000, 3):
+        totals = spatial.buffer_totals(segments, points, counts, buffer_m, crowded=crowded)
+        assert {(r.station_a_id, r.station_b_id, r.n, r.weight) for r in totals.collect()} == wanted
+    pairs = spatial.buffer_join(segments, points, buffer_m, how="inner")
+    assert sorted(r.accident_index for r in pairs.collect()) == sorted(r.accident_index for r in brute.collect())
+    assert wanted and all(cover.count() < 1000 for cover in covers)
