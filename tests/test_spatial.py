@@ -262,3 +262,24 @@ def test_narrow_buffer_crosses_few_cells(spark, accidents_of, counts, monkeypatc
     pairs = spatial.buffer_join(segments, points, buffer_m, how="inner")
     assert sorted(r.accident_index for r in pairs.collect()) == sorted(r.accident_index for r in brute.collect())
     assert wanted and all(cover.count() < 1000 for cover in covers)
+
+
+def test_nearest_points_meet_few_where_they_are_dense(spark, accidents_of, monkeypatch):
+    rng = random.Random(61)
+    rows = [(f"p{i:04}", -0.1 + rng.uniform(-0.01, 0.01), 51.5 + rng.uniform(-0.0004, 0.0004), 1, 1) for i in range(3000)]
+    rows += [(f"same{i:03}", -0.1, 51.5, 1, 1) for i in range(400)] + [("far", -0.1, 51.507, 1, 1)]
+    points = accidents_of(rows).repartition(3)
+    ends = [(-0.11, 51.5, -0.09, 51.5), (-0.1, 51.5, -0.1, 51.5), (-0.11, 51.5002, -0.09, 51.5002), (-0.11, 51.507, -0.09, 51.507)]
+    segments = spark.createDataFrame([(i, i + 1, *e) for i, e in enumerate(ends)], SEGMENTS)
+    formed, join = [], spatial.buffer_join
+    monkeypatch.setattr(spatial, "buffer_join", lambda *a, **b: formed.append(join(*a, **b)) or formed[-1])
+    found = spatial.nearest_points(segments, points, 3, "accident_index", most_m=800.0).collect()
+    distance = geo.segment_distance_m(*(F.col(c) for c in ("longitude", "latitude", "lon_a", "lat_a", "lon_b", "lat_b")))
+    every = segments.join(points, distance <= 800).select("station_a_id", "accident_index", distance.alias("d")).collect()
+    want = []
+    for a in range(len(ends)):
+        mine = sorted((r.d, r.accident_index) for r in every if r.station_a_id == a)[:3]
+        want += [(a, place, index) for place, (_, index) in enumerate(mine, 1)]
+    assert sorted((r.station_a_id, r.place, r.accident_index) for r in found) == sorted(want)
+    dense = sum(pairs.where("station_a_id < 3").count() for pairs in formed)
+    assert 9 <= dense <= 100
