@@ -201,6 +201,45 @@ def test_crowded_cell_goes_to_many_tasks(spark, accidents_of):
     assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
 
 
+@pytest.mark.parametrize("metric", ["great_circle", "planar_deg"])
+def test_pairs_of_a_point_come_together(spark, accidents_of, metric):
+    """A point's pairs follow each other, so that a file names it once; a shape's pairs recur in every cell."""
+    points = accidents_of(random_points(25, 300, spread=0.004, clustered=0.0)).repartition(5)
+    sites = spark.createDataFrame(
+        [(i, "s", r[1], r[2]) for i, r in enumerate(random_points(26, 40, spread=0.004))],
+        "station_id bigint, station_name string, longitude double, latitude double",
+    )
+    met = [r.accident_index for r in spatial.radius_join(sites, points, metric=metric, how="inner").collect()]
+    runs = sum(a != b for a, b in zip(met, [None, *met]))
+    assert len(met) > 5 * len(set(met)) and runs == len(set(met))
+
+
+def test_sites_of_a_crowded_cell_are_held_in_parts(spark, accidents_of):
+    """Most sites stand in one place, some twice with the same key; both sides have a column of the same name."""
+    rows = [(i // 2, "s", -0.1, 51.5) for i in range(400)] + [(i, "s", r[1], r[2]) for i, r in enumerate(random_points(27, 50))]
+    sites = spark.createDataFrame(rows, "station_id bigint, station_name string, longitude double, latitude double")
+    sites = sites.withColumn("source", F.lit("site"))
+    points = accidents_of(random_points(28, 120)).withColumn("source", F.lit("point"))
+    want = sites.drop("source").join(
+        points.withColumnsRenamed({"longitude": "x", "latitude": "y"}),
+        geo.haversine_m(F.col("longitude"), F.col("latitude"), F.col("x"), F.col("y")) <= C.BLACKSPOT_RADIUS_M,
+    )
+    want = sorted((r.station_id, r.accident_index) for r in want.collect())
+    places = []
+    for least in (20, 10**6):
+        got = spatial.radius_join(sites, points, how="inner", crowded=least)
+        assert [got.columns.index(c) for c in ("station_id", "accident_index")] == sorted(
+            got.columns.index(c) for c in ("station_id", "accident_index")
+        )
+        assert got.columns.count("source") == 2
+        rows = got.select("station_id", "accident_index").collect()
+        assert sorted((r.station_id, r.accident_index) for r in rows) == want
+        runs = sum(a.accident_index != b.accident_index for a, b in zip(rows, rows[1:]))
+        places.append(runs + 1)
+    # Dealt out, the sites over the crowded cell meet each of its points in several parts.
+    assert places[0] > places[1] == len({a for _, a in want})
+
+
 def test_shapes_without_points_are_found_without_the_pairs(spark, accidents_of):
     points = accidents_of(random_points(31, 200))
     segments = spark.createDataFrame(random_segments(32, 60), SEGMENTS)
