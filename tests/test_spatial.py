@@ -214,6 +214,21 @@ def test_pairs_of_a_point_come_together(spark, accidents_of, metric):
     assert len(met) > 5 * len(set(met)) and runs == len(set(met))
 
 
+def test_box_pairs_repeat_short_runs_of_points(spark, accidents_of):
+    """Boxes over dense points give them cell by cell: a box never runs through hundreds of points before the next box
+    has the same ones."""
+    rows = [(f"p{i}", -0.105 + i % 40 * 0.00025, 51.495 + i // 40 * 0.00025, 1, 1) for i in range(1600)]
+    points = accidents_of(rows).repartition(3)
+    segments = spark.createDataFrame([(i, i + 1, -0.11, 51.49, -0.09, 51.51) for i in range(12)], SEGMENTS)
+    found = [(r.station_a_id, r.accident_index) for r in spatial.box_join(segments, points).collect()]
+    assert sorted(found) == sorted((s, r[0]) for s in range(12) for r in rows)
+    longest = run = 1
+    for (a, _), (b, _) in zip(found, found[1:]):
+        run = run + 1 if a == b else 1
+        longest = max(longest, run)
+    assert longest <= 150
+
+
 def test_sites_of_a_crowded_cell_are_held_in_parts(spark, accidents_of):
     """Most sites stand in one place, some twice with the same key; both sides have a column of the same name."""
     rows = [(i // 2, "s", -0.1, 51.5) for i in range(400)] + [(i, "s", r[1], r[2]) for i, r in enumerate(random_points(27, 50))]
