@@ -229,6 +229,25 @@ def test_box_pairs_repeat_short_runs_of_points(spark, accidents_of):
     assert longest <= 150
 
 
+def test_buffer_pairs_repeat_short_runs_of_points_by_place(spark, accidents_of):
+    """Segments over dense points give them cell by cell, and the points of one place, met in any order, side by side."""
+    places = [(-0.105 + i % 20 * 0.0005, 51.495 + i // 20 * 0.0005) for i in range(400)]
+    rows = [(f"p{i}", *places[i * 7 % 400], 1, 1) for i in range(2400)]
+    points = accidents_of(rows + [("none", None, 51.5, 1, 1), ("twice", *places[0], 1, 1), ("twice", *places[0], 1, 1)]).repartition(5)
+    segments = spark.createDataFrame([(i, i + 1, -0.11, 51.49 + i * 0.0001, -0.09, 51.51) for i in range(12)], SEGMENTS)
+    pairs = spatial.buffer_join(segments, points, how="inner").collect()
+    near = geo.segment_distance_m(*(F.col(c) for c in ("longitude", "latitude", "lon_a", "lat_a", "lon_b", "lat_b"))) <= 200.0
+    want = sorted((r.station_a_id, r.accident_index) for r in segments.join(points, near).collect())
+    assert sorted((r.station_a_id, r.accident_index) for r in pairs) == want
+    met = [(r.station_a_id, r.point_lon, r.point_lat) for r in pairs]
+    assert sum(a != b for a, b in zip(met, [None, *met])) == len(set(met)) < len(met) / 5
+    longest = run = 1
+    for (a, *_), (b, *_) in zip(met, met[1:]):
+        run = run + 1 if a == b else 1
+        longest = max(longest, run)
+    assert longest <= 50
+
+
 def test_sites_of_a_crowded_cell_are_held_in_parts(spark, accidents_of):
     """Most sites stand in one place, some twice with the same key; both sides have a column of the same name."""
     rows = [(i // 2, "s", -0.1, 51.5) for i in range(400)] + [(i, "s", r[1], r[2]) for i, r in enumerate(random_points(27, 50))]
