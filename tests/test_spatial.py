@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from registry.queries import QUERIES
 from velorisk import constants as C
 from velorisk.functions import geo
 from velorisk.operators import spatial
@@ -214,6 +215,38 @@ def test_pairs_of_a_point_come_together(spark, accidents_of, metric):
     assert len(met) > 5 * len(set(met)) and runs == len(set(met))
 
 
+@pytest.mark.parametrize("metric", ["great_circle", "planar_deg"])
+def test_pairs_of_a_place_come_together(spark, accidents_of, metric):
+    """With ``ordered`` the points of one place, met in any order, follow each other, all pairs of each in a row."""
+    places = [(-0.105 + i % 10 * 0.001, 51.495 + i // 10 * 0.001) for i in range(100)]
+    rows = [(f"p{i}", *places[i * 7 % 100], 1, 1) for i in range(600)]
+    extra = [("none", None, 51.5, 1, 1), (None, *places[0], 1, 1), ("twice", *places[0], 1, 1), ("twice", *places[0], 1, 1)]
+    points = accidents_of(rows + extra).repartition(5)
+    sites = spark.createDataFrame(
+        [(i % 11, "s", -0.1 + i * 0.0007, 51.5 + i * 0.0003) for i in range(12)] + [(99, "s", 0.2, 51.6)],
+        "station_id bigint, station_name string, longitude double, latitude double",
+    )
+    for how in ("left", "inner"):
+        pairs = spatial.radius_join(sites, points, metric=metric, how=how, ordered=True)
+        want = spatial.radius_join(sites, points, metric=metric, how=how)
+        assert pairs.columns == want.columns and sorted(map(repr, pairs.collect())) == sorted(map(repr, want.collect()))
+    met = [((r.point_lon, r.point_lat), r.accident_index) for r in pairs.collect()]
+    for what in ([m for m in met if m[1] not in (None, "twice")], [m[0] for m in met]):
+        assert sum(a != b for a, b in zip(what, [None, *what])) == len(set(what)) < len(what) / 3
+
+
+def test_stored_pairs_of_a_place_come_together(spark, tmp_path):
+    """As above, in the query, for accidents in the order of their ids, of which every 30th is in the same place."""
+    orders = [(k + j * 1501 * 901, 7, "1995-01-01") for j in range(6) for k in range(1, 31)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderdate string").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    suppliers = [(k, f"Supplier#{k}") for k in range(1500)]
+    spark.createDataFrame(suppliers, "s_suppkey bigint, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = QUERIES["jn1_radius_join"](spark, str(tmp_path)).where("accident_index IS NOT NULL")
+    assert got.columns == ["station_id", "accident_index", "distance_m"]
+    met = [int(r.accident_index) % (1501 * 901) for r in got.collect()]
+    assert sum(a != b for a, b in zip(met, [None, *met])) == len(set(met)) < len(met) / 20
+
+
 def test_box_pairs_repeat_short_runs_of_points(spark, accidents_of):
     """Boxes over dense points give them cell by cell: a box never runs through hundreds of points before the next box
     has the same ones."""
