@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -23,6 +24,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left():
+    """A file of tests leaves no temporary views to the next one: Spark lists them in every database."""
+    yield
+    session = SparkSession.getActiveSession()
+    for table in session.catalog.listTables() if session else []:
+        if table.isTemporary:
+            session.catalog.dropTempView(table.name)
+
+
 @pytest.fixture
 def store(spark, tmp_path):
     from velorisk.sources.tables import TableStore
